@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 # Fixed pattern: characters kept in a cleaned name. The letter ё/Ё lies outside the range and becomes a space.
 NOT_NAME = "[^A-Za-z0-9А-Яа-я]+"
-# Item types that mean the same platform, checked before and after spaces are removed.
-XBOX_360 = ("x360", "xbox360", "xbox 360")
-PC_LOOKALIKE = "pс"  # Latin p, Cyrillic es
-PS3_LOOKALIKE = "рs3"  # Cyrillic er
+# Tokens (spaces removed) that mean another platform name. The last two start with look-alike letters:
+# Latin p with Cyrillic es, and Cyrillic er.
+TYPE_SPELLINGS = {"x360": "xbox360", "": "mac", "pс": "pc", "рs3": "ps3"}
 
 
 def _col(c: str | Column) -> Column:
@@ -65,9 +64,12 @@ def _words(c: Column) -> Column:
 
 
 def bracket_part(name: str | Column) -> Column:
-    """Cleaned text after the first '[' without its last character; '0' when there is none."""
-    text = F.coalesce(_words(_after(_col(name), "[")), F.lit("0"))
-    return F.when(text == "0", text).otherwise(F.substr(text, F.lit(1), F.length(text) - 1))
+    """Cleaned text after the first '[' without its last character; '0' when there is none.
+
+    A text that reads '0' itself keeps its only character.
+    """
+    shortened = F.regexp_replace(_words(_after(_col(name), "[")), "^(?!0$)(.*).$", "$1")
+    return F.coalesce(shortened, F.lit("0"))
 
 
 def parenthesis_part(name: str | Column) -> Column:
@@ -82,10 +84,11 @@ def normalise_name(name: str | Column) -> Column:
 
 
 def item_type(name2: str | Column) -> Column:
-    """Platform token of a bracket part, with its spellings unified and spaces removed."""
-    c = _col(name2)
-    word = token(c, 1)
-    raw = F.when(word == "xbox", F.substr(c, F.lit(1), F.lit(8))).otherwise(word)
-    spelled = F.when(raw.isin(*XBOX_360), F.lit("xbox 360")).when(raw == "", F.lit("mac")).otherwise(raw)
-    tight = F.replace(spelled, F.lit(" "), F.lit(""))
-    return F.when(tight == PC_LOOKALIKE, F.lit("pc")).when(tight == PS3_LOOKALIKE, F.lit("ps3")).otherwise(tight)
+    """Platform token of a bracket part: its first word, or its first 8 characters when that word is 'xbox'.
+
+    Spaces are removed and spellings unified. The input is read once, so the expression stays small when inlined.
+    """
+    token_text = F.regexp_extract(_col(name2), "^(xbox(?= |$).{0,4}|[^ ]*)", 1)
+    tight = F.replace(token_text, F.lit(" "), F.lit(""))
+    spellings = F.create_map(*[F.lit(x) for pair in TYPE_SPELLINGS.items() for x in pair])
+    return F.coalesce(F.try_element_at(spellings, tight), tight)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.layout import BROADCAST_BYTES, fits_broadcast, join_small, number_rows
+from shelfcast.operators.layout import BROADCAST_BYTES, fits_broadcast, number_rows
 from shelfcast.session import settle
 
 
@@ -15,25 +15,41 @@ def value_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
-def _ranked(values: DataFrame, order: str, out: str, max_bytes: int) -> DataFrame:
-    """Dense codes from 0 in ``order``: one window when the distinct values are few, else range by range."""
-    values = settle(values)
-    if fits_broadcast(values, max_bytes):
+def _ranked(values: DataFrame, order: str, out: str, small: bool) -> DataFrame:
+    """Dense codes from 0 in ``order``: one window when the values are known to be few, else range by range."""
+    if small:
         return values.withColumn(out, F.row_number().over(Window.orderBy(order)) - 1)
     return number_rows(values, [order], out).withColumn(out, F.col(out).cast("int"))
 
 
-def label_encode(df: DataFrame, col: str, out: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _measured(values: DataFrame, small: bool | None, max_bytes: int) -> tuple[DataFrame, bool]:
+    """The caller may vouch for the size of a table it has measured; otherwise write the values and measure them."""
+    if small is not None:
+        return values, small
+    values = settle(values)
+    return values, fits_broadcast(values, max_bytes)
+
+
+def _attach_codes(df: DataFrame, codes: DataFrame, col: str, small: bool) -> DataFrame:
+    return df.join(F.broadcast(codes) if small else codes, col, "left")
+
+
+def label_encode(
+    df: DataFrame, col: str, out: str, small: bool | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Rank of the value among the sorted distinct values, from 0; NULL stays NULL."""
-    codes = _ranked(df.select(col).dropna().distinct(), col, out, max_bytes)
-    return join_small(df, codes, col, max_bytes=max_bytes)
+    values, small = _measured(df.select(col).dropna().distinct(), small, max_bytes)
+    return _attach_codes(df, _ranked(values, col, out, small), col, small)
 
 
-def factorise(df: DataFrame, col: str, position: str, out: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def factorise(
+    df: DataFrame, col: str, position: str, out: str, small: bool | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Code by first appearance in ``position`` order (a unique column); NULL gets −1."""
     firsts = df.dropna(subset=[col]).groupBy(col).agg(F.min(position).alias("_first"))
-    codes = _ranked(firsts, "_first", out, max_bytes).drop("_first")
-    return join_small(df, codes, col, max_bytes=max_bytes).fillna(-1, subset=[out])
+    firsts, small = _measured(firsts, small, max_bytes)
+    codes = _ranked(firsts, "_first", out, small).drop("_first")
+    return _attach_codes(df, codes, col, small).fillna(-1, subset=[out])
 
 
 def dict_code(df: DataFrame, col: str, mapping: Mapping[str, int], out: str) -> DataFrame:
@@ -44,20 +60,29 @@ def dict_code(df: DataFrame, col: str, mapping: Mapping[str, int], out: str) ->
     return df.withColumn(out, code)
 
 
-def rare_bucket(df: DataFrame, col: str, more_than: int = 4, other: str = "etc") -> DataFrame:
+def rare_bucket(
+    df: DataFrame, col: str, more_than: int = 4, other: str = "etc", small: bool | None = None
+) -> DataFrame:
     """Keep a value that occurs more than ``more_than`` times, else replace it."""
-    kept = settle(value_counts(df, col, "_n").filter(F.col("_n") > more_than).select(col, F.lit(True).alias("_kept")))
-    return join_small(df, kept, col).withColumn(col, F.when(F.col("_kept"), F.col(col)).otherwise(other)).drop("_kept")
+    kept = value_counts(df, col, "_n").filter(F.col("_n") > more_than).select(col, F.lit(True).alias("_kept"))
+    kept, small = _measured(kept, small, BROADCAST_BYTES)
+    flagged = _attach_codes(df, kept, col, small)
+    return flagged.withColumn(col, F.when(F.col("_kept"), F.col(col)).otherwise(other)).drop("_kept")
 
 
 def rare_bucket_cross(
-    df: DataFrame, type_col: str, name_col: str, fewer_than: int = 40, other: str = "etc"
+    df: DataFrame,
+    type_col: str,
+    name_col: str,
+    fewer_than: int = 40,
+    other: str = "etc",
+    small: bool | None = None,
 ) -> DataFrame:
     """Collect the types that occur fewer than ``fewer_than`` times; a *name* equal to such a type is replaced."""
     rare = value_counts(df, type_col, "_n").filter(F.col("_n") < fewer_than)
-    flagged = settle(rare.select(F.col(type_col).alias(name_col), F.lit(True).alias("_rare")))
+    rare, small = _measured(rare.select(F.col(type_col).alias(name_col), F.lit(True).alias("_rare")), small, BROADCAST_BYTES)
     replaced = F.when(F.col("_rare"), F.lit(other)).otherwise(F.col(name_col))
-    return join_small(df, flagged, name_col).withColumn(name_col, replaced).drop("_rare")
+    return _attach_codes(df, rare, name_col, small).withColumn(name_col, replaced).drop("_rare")
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], max_values: int = 1000) -> DataFrame:

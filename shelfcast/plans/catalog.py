@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from shelfcast.operators import (
 )
 from shelfcast.operators.layout import number_rows
 from shelfcast.plans.features import feature_table
-from shelfcast.session import settle, tune
+from shelfcast.session import in_parallel, settle, settle_all, tune
 from shelfcast.sources import binding as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +78,8 @@ def long_category_dim(spark: SparkSession, d: str) -> DataFrame:
 
 
 def full_items(spark: SparkSession, d: str) -> DataFrame:
-    return item_dim(spark, d).join(category_dim(spark, d), "item_category_id", "left")
+    items, categories = in_parallel(lambda: item_dim(spark, d), lambda: category_dim(spark, d))
+    return items.join(categories, "item_category_id", "left")
 
 
 def long_items(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +92,7 @@ def features(spark: SparkSession, d: str, variant: Variant) -> DataFrame:
     if variant.name == "long_lag":
         shops, items = dims.long_shop_attributes(b.shops_view(spark, d), variant), long_items(spark, d)
     else:
-        shops, items = shop_dim(spark, d), full_items(spark, d)
+        shops, items = in_parallel(lambda: shop_dim(spark, d), lambda: full_items(spark, d))
     return feature_table(b.sales_view(spark, d), shops, items, keys, variant)
 
 
@@ -255,8 +257,8 @@ def clip_target(spark, d):
 
 @query("attach_dims")
 def attach_dims(spark, d):
-    items = item_dim(spark, d)
-    return panel.attach_dims(with_keys(spark, d), shop_dim(spark, d), items, category_dim(spark, d))
+    tables = settle_all(shop_dim(spark, d), item_dim(spark, d), category_dim(spark, d))
+    return panel.attach_dims(with_keys(spark, d), *tables)
 
 
 @query("denormalise")
@@ -547,7 +549,7 @@ def unify_tokens(spark, d):
 
 @query("value_counts")
 def value_counts(spark, d):
-    counts = encode.value_counts(dims.item_name_parts(b.items_view(spark, d)), "name2")
+    counts = encode.value_counts(dims.item_name_parts(b.items_view(spark, d))[0], "name2")
     return counts.withColumn("frequent", (F.col("n") > 4).cast("int"))
 
 
@@ -575,7 +577,7 @@ def rare_bucket(spark, d):
 
 @query("rare_bucket_cross")
 def rare_bucket_cross(spark, d):
-    return dims.item_name_parts(b.items_view(spark, d))
+    return dims.item_name_parts(b.items_view(spark, d))[0]
 
 
 @query("one_hot")
@@ -775,7 +777,7 @@ def ensemble_mean(spark, d):
 
 @query("compare_forecasts")
 def compare_forecasts(spark, d):
-    return _rounded(summary.compare_forecasts(settle(_forecast(spark, d, 12)), settle(_forecast(spark, d, 24))))
+    return _rounded(summary.compare_forecasts(*settle_all(_forecast(spark, d, 12), _forecast(spark, d, 24))))
 
 
 # -- whole feature tables --------------------------------------------------------------------------------------
@@ -799,3 +801,39 @@ def features_segmented(spark, d):
 @query("features_long_lags")
 def features_long_lags(spark, d):
     return digest(features(spark, d, b.LONG))
+
+
+# -- boosted trees ---------------------------------------------------------------------------------------------
+
+# Few, shallow rounds: the point of the registered runs is the whole data path, not the best score.
+QUICK = {"depth": 5, "rounds": 5, "patience": 2}
+
+
+def tree_inputs(spark: SparkSession, d: str, variant: Variant) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Assembled training, validation and test rows of a variant's feature table."""
+    table = settle(features(spark, d, variant))
+    inputs = [c for c in table.columns if c not in ("item_quantity", "item_seniority")]
+    rows = trees.assemble(table, inputs)
+    keep = [*KEYS, "features", "label", *(["item_seniority"] if variant.seniority else [])]
+    return splits.time_split(rows.select(*keep), b.TARGET_MONTH - 1, b.TARGET_MONTH)
+
+
+@query("gbt_forecast")
+def gbt_forecast(spark, d):
+    train, val, test = tree_inputs(spark, d, b.LATE)
+    model, _ = trees.fit_trees(train, val, trees.TreeParams(**QUICK))
+    return panel.submission_join(b.test_keys_view(spark, d), trees.score(model, test))
+
+
+@query("gbt_segments")
+def gbt_segments(spark, d):
+    train, val, test = tree_inputs(spark, d, b.SEGMENT)
+    params = [replace(p, **QUICK) for p in trees.SEGMENT_PARAMS]
+    return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(train, val, test, params))
+
+
+@query("param_search")
+def param_search(spark, d):
+    train, val, _ = tree_inputs(spark, d, b.LATE)
+    tried = trees.param_search(train, val, trees.draw_params(3, seed=42, **QUICK))
+    return summary.top_k(tried, [F.asc("loss"), F.asc("trial")], 3)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.config import ITEM, MONTH, SHOP, Encoding, Variant
@@ -19,7 +19,7 @@ from shelfcast.functions.numeric import clip, days_in_month, mean, month_of_year
 from shelfcast.operators.cleaning import clean_sales, clip_columns, fill_lags
 from shelfcast.operators.layout import BROADCAST_BYTES, expand, fits_broadcast, join_small
 from shelfcast.operators.recency import seniority_code
-from shelfcast.session import parallelism, settle, tune
+from shelfcast.session import in_parallel, parallelism, settle, settle_all, tune
 
 ROWS_PER_TASK = 4_000_000
 
@@ -50,6 +50,12 @@ def _lag_set(variant: Variant) -> list[int]:
     return sorted(used)
 
 
+def _lagged(side: DataFrame, by: Sequence[str], wanted: dict[str, tuple[str, int]]) -> DataFrame:
+    """Add calendar lags {name: (column, months)} within ``by``: one sort for all, at most one row per month in a group."""
+    frame = Window.partitionBy(*by).orderBy(MONTH)
+    return side.withColumns({n: F.max(c).over(frame.rangeBetween(-k, -k)) for n, (c, k) in wanted.items()})
+
+
 class FactoredPanel:
     """The narrow tables of one variant, and the product built from them."""
 
@@ -67,117 +73,114 @@ class FactoredPanel:
         self.variant, self.max_bytes = variant, max_bytes
         self.shop_attrs = [c for c in shops.columns if c != SHOP]
         self.item_attrs = [c for c in items.columns if c != ITEM]
-        self.shop_dim, self.item_dim = settle(shops), settle(items)
-        self.facts = settle(monthly_facts(sales, variant))
-        self.test = settle(test.select(SHOP, ITEM).distinct())
         self.lags = _lag_set(variant)
-        # Shop attributes ride along on the sparse facts for the group sums.
-        self.active_shops = settle(
-            join_small(
-                self.facts.groupBy(MONTH, SHOP).agg(F.sum("q").alias("q"), F.sum("revenue").alias("revenue")),
-                self.shop_dim,
-                SHOP,
-            )
+        self.facts, self.test, self.shop_dim, self.item_dim = settle_all(
+            monthly_facts(sales, variant), test.select(SHOP, ITEM).distinct(), shops, items
         )
-        self.active_items = settle(
-            self.facts.groupBy(MONTH, ITEM)
-            .agg(F.sum("q").alias("q"), F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n"))
-            .join(self.item_dim, ITEM, "left")
+        self.active_shops, self.active_items = settle_all(
+            self.facts.groupBy(MONTH, SHOP).agg(F.sum("q").alias("q"), F.sum("revenue").alias("revenue")),
+            self.facts.groupBy(MONTH, ITEM).agg(
+                F.sum("q").alias("q"), F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n")
+            ),
         )
+        # Measured once: tables with at most one row per (month, shop) are broadcast only if this one may be.
+        self.few_shops = fits_broadcast(self.active_shops, max_bytes)
 
-    # -- group means -------------------------------------------------------------------------------------------
-
-    def group_mean(self, encoding: Encoding) -> DataFrame:
-        """Mean of the zero-filled target per (month, keys), without the dense panel. Absent groups have mean 0."""
-        shop_keys = [k for k in encoding.keys if k == SHOP or k in self.shop_attrs]
-        item_keys = [k for k in encoding.keys if k not in shop_keys]
-        n_shops = self.active_shops.groupBy(MONTH, *shop_keys).agg(F.count(F.lit(1)).alias("_ns"))
-        n_items = self.active_items.groupBy(MONTH, *item_keys).agg(F.count(F.lit(1)).alias("_ni"))
-        if not item_keys:
-            sums = self.active_shops.groupBy(MONTH, *shop_keys).agg(F.sum("q").alias("_q"))
-        elif not shop_keys:
-            sums = self.active_items.groupBy(MONTH, *item_keys).agg(F.sum("q").alias("_q"))
-        else:
-            rows = self.facts.select(MONTH, SHOP, ITEM, "q")
-            if [k for k in shop_keys if k != SHOP]:
-                rows = join_small(rows, self.shop_dim.select(SHOP, *[k for k in shop_keys if k != SHOP]), SHOP)
-            if [k for k in item_keys if k != ITEM]:
-                rows = join_small(rows, self.item_dim.select(ITEM, *[k for k in item_keys if k != ITEM]), ITEM)
-            sums = rows.groupBy(MONTH, *shop_keys, *item_keys).agg(F.sum("q").alias("_q"))
-        size = F.col("_ns").cast("double") * F.col("_ni").cast("double")
-        joined = sums.join(n_shops, [MONTH, *shop_keys]).join(n_items, [MONTH, *item_keys])
-        return joined.select(MONTH, *encoding.keys, (F.col("_q") / size).alias(encoding.name))
-
-    def _attach(self, side: DataFrame, encodings: Sequence[Encoding]) -> DataFrame:
-        """Join the lagged group means to a narrow side. Presence at the lag is applied later, per pair."""
-        for e in encodings:
-            means = settle(self.group_mean(e))
-            small = fits_broadcast(means, self.max_bytes)
-            for k in e.lags:
-                shifted = _shift(means, k).withColumnRenamed(e.name, f"{e.name}_lag_{k}")
-                side = side.join(F.broadcast(shifted) if small else shifted, [MONTH, *e.keys], "left")
-        return side
+    def _of_shops(self, table: DataFrame) -> DataFrame:
+        """Hint for a table no larger than the (month, shop) table or the shop table."""
+        return F.broadcast(table) if self.few_shops else table
 
-    # -- narrow sides ------------------------------------------------------------------------------------------
+    def _sides(self, encoding: Encoding) -> tuple[list[str], list[str]]:
+        on_shop = [k for k in encoding.keys if k == SHOP or k in self.shop_attrs]
+        return on_shop, [k for k in encoding.keys if k not in on_shop]
 
     def _encodings(self, kind: str) -> list[Encoding]:
+        """Encodings by where they attach: 'shop', 'item', 'mixed' (shop × item attribute) or 'pair' (shop × item)."""
         chosen = []
         for e in self.variant.encodings:
-            on_shop = any(k == SHOP or k in self.shop_attrs for k in e.keys)
-            on_item = any(k not in (SHOP, *self.shop_attrs) for k in e.keys)
-            on_pair_item = on_shop and ITEM in e.keys
-            found = "pair" if on_pair_item else "mixed" if on_shop and on_item else "item" if on_item else "shop"
+            shop_keys, item_keys = self._sides(e)
+            found = "shop" if not item_keys else "item" if not shop_keys else "pair" if ITEM in item_keys else "mixed"
             if found == kind:
                 chosen.append(e)
         return chosen
 
+    # -- group means -------------------------------------------------------------------------------------------
+
+    def _shops_with(self, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+        attrs = [k for k in keys if k != SHOP]
+        return table.join(self._of_shops(self.shop_dim.select(SHOP, *attrs)), SHOP, "left") if attrs else table
+
+    def _items_with(self, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+        attrs = [k for k in keys if k != ITEM]
+        return table.join(self.item_dim.select(ITEM, *attrs), ITEM, "left") if attrs else table
+
+    def group_mean(self, encoding: Encoding) -> DataFrame:
+        """Mean of the zero-filled target per (month, keys), without the dense panel. A group without sales is absent.
+
+        The panel of a month is a product, so a group has (its active shops) × (its active items) rows.
+        """
+        shop_keys, item_keys = self._sides(encoding)
+        shops = self._shops_with(self.active_shops, shop_keys)
+        items = self._items_with(self.active_items, item_keys)
+        n_shops = shops.groupBy(MONTH, *shop_keys).agg(F.count(F.lit(1)).alias("_ns"))
+        n_items = items.groupBy(MONTH, *item_keys).agg(F.count(F.lit(1)).alias("_ni"))
+        rows = shops if not item_keys else items if not shop_keys else None
+        if rows is None:
+            rows = self._items_with(self._shops_with(self.facts, shop_keys), item_keys)
+        sums = rows.groupBy(MONTH, *encoding.keys).agg(F.sum("q").alias("_q"))
+        size = F.col("_ns").cast("double") * F.col("_ni").cast("double")
+        joined = sums.join(self._of_shops(n_shops), [MONTH, *shop_keys]).join(n_items, [MONTH, *item_keys])
+        return joined.select(MONTH, *encoding.keys, (F.col("_q") / size).alias(encoding.name))
+
+    # -- narrow sides ------------------------------------------------------------------------------------------
+
     def shop_side(self) -> DataFrame:
         """(month, shop) rows, also for the month to predict: attributes, presence per lag, shop-level features."""
         v = self.variant
-        present = self.active_shops.select(MONTH, SHOP)
-        wanted = self.test.select(F.lit(v.target_month).alias(MONTH), SHOP).distinct()
-        side = join_small(present.unionByName(wanted).distinct(), self.shop_dim, SHOP)
-        small = fits_broadcast(present, self.max_bytes)
-        for k in self.lags:
-            shifted = _shift(present, k).withColumn(f"_s{k}", F.lit(True))
-            side = side.join(F.broadcast(shifted) if small else shifted, [MONTH, SHOP], "left")
-        side = self._attach(side, self._encodings("shop"))
+        here = self.active_shops.select(MONTH, SHOP, F.lit(True).alias("_here"), "revenue")
+        asked = self.test.select(F.lit(v.target_month).alias(MONTH), SHOP).distinct()
+        side = self._shops_with(here.unionByName(asked, allowMissingColumns=True), [SHOP, *self.shop_attrs])
+        wanted = {f"_s{k}": ("_here", k) for k in self.lags}
+        for e in self._encodings("shop"):
+            side = side.join(self._of_shops(self.group_mean(e)), [MONTH, *e.keys], "left")
+            wanted |= {f"{e.name}_lag_{k}": (e.name, k) for k in e.lags}
         if v.revenue_trend:
             average = self.active_shops.groupBy(SHOP).agg(mean("revenue").alias("_average"))
-            delta = relative_delta(F.col("revenue").cast("double"), "_average")
-            delta = self.active_shops.join(average, SHOP).select(MONTH, SHOP, delta.alias("delta_revenue_lag_1"))
-            side = join_small(side, settle(_shift(delta, 1)), [MONTH, SHOP], max_bytes=self.max_bytes)
-        return side
+            side = side.join(self._of_shops(average), SHOP, "left").withColumn(
+                "_delta", relative_delta(F.col("revenue").cast("double"), "_average")
+            )
+            wanted["delta_revenue_lag_1"] = ("_delta", 1)
+        return _lagged(side, [SHOP], wanted).select(MONTH, SHOP, *self.shop_attrs, *wanted)
 
     def item_side(self) -> DataFrame:
         """(month, item) rows, also for the month to predict: attributes, presence per lag, item-level features."""
         v = self.variant
-        present = self.active_items.select(MONTH, ITEM)
-        wanted = self.test.select(F.lit(v.target_month).alias(MONTH), ITEM).distinct()
-        side = present.unionByName(wanted).distinct()
-        firsts = side.groupBy(ITEM).agg(F.min(MONTH).alias("_item_first"))
-        side = side.join(self.item_dim, ITEM, "left").join(firsts, ITEM, "left")
-        history = self.active_items.select(
-            MONTH, ITEM, F.try_divide(F.col("price_sum").cast("double"), F.col("price_n")).alias("_price")
-        )
-        for k in self.lags:
-            shifted = _shift(history, k).select(MONTH, ITEM, F.lit(True).alias(f"_i{k}"), F.col("_price").alias(f"_p{k}"))
-            side = side.join(shifted, [MONTH, ITEM], "left")
-        side = self._attach(side, self._encodings("item"))
+        price = F.try_divide(F.col("price_sum").cast("double"), F.col("price_n"))
+        here = self.active_items.select(MONTH, ITEM, F.lit(True).alias("_here"), price.alias("_price"))
+        asked = self.test.select(F.lit(v.target_month).alias(MONTH), ITEM).distinct()
+        side = self._items_with(here.unionByName(asked, allowMissingColumns=True), [ITEM, *self.item_attrs])
+        wanted = {f"_i{k}": ("_here", k) for k in self.lags}
+        for e in self._encodings("item"):
+            side = side.join(self.group_mean(e), [MONTH, *e.keys], "left")
+            wanted |= {f"{e.name}_lag_{k}": (e.name, k) for k in e.lags}
         if v.price_trend:
             overall = self.active_items.groupBy(ITEM).agg(
                 F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_n")).alias("_overall")
             )
-            side = side.join(overall, ITEM, "left")
-            side = side.withColumns({f"_d{k}": relative_delta(f"_p{k}", "_overall") for k in v.price_lags})
-        return side.drop("_overall", *[f"_p{k}" for k in self.lags])
+            side = side.join(overall, ITEM, "left").withColumn("_delta", relative_delta("_price", "_overall"))
+            wanted |= {f"_d{k}": ("_delta", k) for k in v.price_lags}
+        side = side.withColumn("_item_first", F.min(MONTH).over(Window.partitionBy(ITEM)))
+        return _lagged(side, [ITEM], wanted).select(MONTH, ITEM, *self.item_attrs, "_item_first", *wanted)
 
-    def _by_category(self, shop_side: DataFrame, item_side: DataFrame, mixed: Sequence[Encoding]) -> DataFrame:
+    def _by_attribute(self, shop_side: DataFrame, item_side: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Shop side once per item-attribute combination of its month, with the means that mix both sides."""
-        keys = sorted({k for e in mixed for k in e.keys if k in self.item_attrs})
         combos = item_side.select(MONTH, *keys).distinct()
         side = expand(combos, shop_side, MONTH, keys, max_bytes=self.max_bytes, settled=True)
-        return self._attach(side, mixed)
+        wanted = {}
+        for e in self._encodings("mixed"):
+            side = side.join(self.group_mean(e), [MONTH, *e.keys], "left")
+            wanted |= {f"{e.name}_lag_{k}": (e.name, k) for k in e.lags}
+        return _lagged(side, [SHOP, *keys], wanted).select(*shop_side.columns, *keys, *wanted)
 
     # -- sparse pair tables ------------------------------------------------------------------------------------
 
@@ -209,17 +212,15 @@ class FactoredPanel:
     def build(self) -> DataFrame:
         """Dense feature table after burn-in, plus the rows to predict."""
         v = self.variant
-        shop_side, item_side = settle(self.shop_side()), settle(self.item_side())
-        mixed = self._encodings("mixed")
-        on = [MONTH, *sorted({k for e in mixed for k in e.keys if k in self.item_attrs})]
+        shop_side, item_side = settle_all(*in_parallel(self.shop_side, self.item_side))
+        keys = sorted({k for e in self._encodings("mixed") for k in self._sides(e)[1]})
+        if keys:
+            shop_side = settle(self._by_attribute(shop_side, item_side, keys))
         # NULL attributes must still meet their own rows, so the product runs on NULL-free copies of the keys.
-        if mixed:
-            shop_side = settle(self._by_category(shop_side, item_side, mixed))
-        nullsafe = [k for k in on if k != MONTH]
-        coded = [F.coalesce(F.col(k), F.lit(-1)).alias(f"_on_{k}") for k in nullsafe]
-        few = shop_side.select("*", *coded).drop(*nullsafe)
+        coded = [F.coalesce(F.col(k), F.lit(-1)).alias(f"_on_{k}") for k in keys]
+        few = shop_side.select("*", *coded).drop(*keys)
         many = item_side.select("*", *coded)
-        join_on = [MONTH, *[f"_on_{k}" for k in nullsafe]]
+        join_on = [MONTH, *[f"_on_{k}" for k in keys]]
 
         size = (
             self.active_items.groupBy(MONTH).agg(F.count(F.lit(1)).alias("_i"))

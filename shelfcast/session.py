@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # One local folder per Python process, used only when no shared folder is named and Spark runs in local mode.
 _local_root: str | None = None
 
@@ -58,6 +63,17 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(*steps: Callable[[], T]) -> list[T]:
+    """Run independent steps that start Spark jobs at the same time; the scheduler shares the executors among them."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
+def settle_all(*tables: DataFrame) -> list[DataFrame]:
+    """Settle independent tables side by side."""
+    return in_parallel(*[lambda t=t: settle(t) for t in tables])
+
+
 def parallelism(spark: SparkSession) -> int:
     """Number of partitions for an explicit repartition of something that will grow afterwards."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
