@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from shelfcast.config import ITEM, KEYS, MONTH, SHOP
 from shelfcast.functions.numeric import mean
 from shelfcast.operators.cleaning import with_period
 from shelfcast.operators.layout import expand, join_small
+from shelfcast.session import parallelism, settle
+
+ROWS_PER_TASK = 4_000_000
 
 
 def monthly_sales(sales: DataFrame) -> DataFrame:
@@ -21,12 +26,26 @@ def active_keys(sales: DataFrame, key: str) -> DataFrame:
     return sales.select(MONTH, key).distinct()
 
 
+def grid_partitions(keys: DataFrame) -> int:
+    """Tasks for the grid of these keys, from its exact row count Σ (items × shops) per month: two small aggregates."""
+    items = active_keys(keys, ITEM).groupBy(MONTH).agg(F.count(F.lit(1)).alias("_i"))
+    shops = active_keys(keys, SHOP).groupBy(MONTH).agg(F.count(F.lit(1)).alias("_s"))
+    rows = items.join(shops, MONTH).agg(F.sum(F.col("_i") * F.col("_s"))).first()[0] or 0
+    return max(parallelism(keys.sparkSession), math.ceil(rows / ROWS_PER_TASK))
+
+
+def grid_of(keys: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Active grid from a compact table of (month, shop, item) keys that is cheap to read more than once."""
+    partitions = partitions or grid_partitions(keys)
+    return expand(active_keys(keys, ITEM), active_keys(keys, SHOP), MONTH, [ITEM], partitions).select(*KEYS)
+
+
 def active_grid(sales: DataFrame) -> DataFrame:
     """For each month, every shop active that month with every item active that month; hashed on the item.
 
     No item can be hot afterwards: it has at most months × shops rows, however many sales it had.
     """
-    return expand(active_keys(sales, ITEM), active_keys(sales, SHOP), MONTH, [ITEM]).select(*KEYS)
+    return grid_of(settle(sales.select(*KEYS).distinct()))
 
 
 def fill_panel(grid: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -37,15 +56,22 @@ def fill_panel(grid: DataFrame, monthly: DataFrame) -> DataFrame:
     return grid.join(monthly.hint("shuffle_hash"), list(KEYS), "left")
 
 
-def dense_panel(sales: DataFrame) -> DataFrame:
-    """Grid with monthly units, 0 where nothing was sold."""
-    return fill_panel(active_grid(sales), monthly_sales(sales)).fillna(0, subset=["item_quantity"])
+def dense_panel(monthly: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Grid with monthly units, 0 where nothing was sold. ``monthly`` is read several times: settle it first."""
+    return fill_panel(grid_of(monthly, partitions), monthly).fillna(0, subset=["item_quantity"])
 
 
-def union_test_keys(panel: DataFrame, test: DataFrame, month: int) -> DataFrame:
-    """Append the keys to predict; their target counts as 0."""
-    keys = with_period(test.select(SHOP, ITEM), month)
-    return panel.unionByName(keys, allowMissingColumns=True).fillna(0, subset=["item_quantity"])
+def union_test_keys(panel: DataFrame, test: DataFrame, month: int, partitions: int | None = None) -> DataFrame:
+    """Append the keys to predict; their target counts as 0.
+
+    The keys take the item hash of the dense rows (pass the panel's ``partitions``), so that the union keeps it and
+    later steps need no new shuffle.
+    """
+    partitions = partitions or parallelism(test.sparkSession)
+    keys = with_period(test.select(SHOP, ITEM), month).repartition(partitions, ITEM)
+    keys = keys.withColumn("item_quantity", F.lit(0.0))
+    others = [c for c in panel.columns if c not in (*KEYS, "item_quantity")]
+    return panel.unionByName(keys, allowMissingColumns=bool(others))
 
 
 def attach_dims(panel: DataFrame, shops: DataFrame, items: DataFrame, categories: DataFrame) -> DataFrame:

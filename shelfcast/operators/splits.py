@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.config import MONTH
 from shelfcast.operators.layout import number_rows
+from shelfcast.session import settle
 
 _BUCKET_DIGITS = 4
 
@@ -32,11 +33,12 @@ def random_split(df: DataFrame, fraction: float, keys: Sequence[str], seed: int
     """Flag exactly int(fraction · n) rows: those with the smallest (score, keys). ``keys`` must be unique.
 
     A histogram over the leading score digits (at most 16^4 rows) finds the bucket with the cut; only that bucket is
-    ranked, range by range, so the table itself is neither sorted nor shuffled.
+    ranked, range by range, so the table itself is neither sorted nor shuffled. It is read three times: settle it first
+    unless it is cheap to read.
     """
     scored = df.withColumn("_score", key_score(keys, seed))
     bucket = F.substr("_score", F.lit(1), F.lit(_BUCKET_DIGITS))
-    histogram = scored.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    histogram = settle(scored.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n")))
     total = histogram.agg(F.sum("_n")).first()[0] or 0
     wanted = int(fraction * total)
     if not wanted:

@@ -51,12 +51,20 @@ def clean(spark: SparkSession, d: str, variant: Variant = b.LATE) -> DataFrame:
     return cleaning.clean_sales(b.sales_view(spark, d), variant, b.items_view(spark, d))
 
 
-def dense(spark: SparkSession, d: str) -> DataFrame:
-    return panel.dense_panel(clean(spark, d))
+def totals(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly units, written once: the only pass over the daily fact."""
+    return settle(panel.monthly_sales(clean(spark, d)))
 
 
-def with_keys(spark: SparkSession, d: str) -> DataFrame:
-    return panel.union_test_keys(dense(spark, d), b.test_keys_view(spark, d), b.TARGET_MONTH)
+def dense(spark: SparkSession, d: str, monthly: DataFrame | None = None) -> DataFrame:
+    return panel.dense_panel(totals(spark, d) if monthly is None else monthly)
+
+
+def with_keys(spark: SparkSession, d: str, monthly: DataFrame | None = None) -> DataFrame:
+    monthly = totals(spark, d) if monthly is None else monthly
+    parts = panel.grid_partitions(monthly)
+    rows = panel.dense_panel(monthly, parts)
+    return panel.union_test_keys(rows, b.test_keys_view(spark, d), b.TARGET_MONTH, parts)
 
 
 def shop_dim(spark: SparkSession, d: str) -> DataFrame:
@@ -219,8 +227,8 @@ def active_grid(spark, d):
 
 @query("grid_fill_zero")
 def grid_fill_zero(spark, d):
-    sales = clean(spark, d)
-    filled = panel.fill_panel(panel.active_grid(sales), panel.monthly_sales(sales))
+    monthly = totals(spark, d)
+    filled = panel.fill_panel(panel.grid_of(monthly), monthly)
     return cleaning.fill_constant(filled, ["item_quantity"])
 
 
@@ -443,21 +451,22 @@ def month_features(spark, d):
 
 @query("first_month")
 def first_month(spark, d):
-    pairs = recency.first_month(panel.monthly_sales(clean(spark, d)), [SHOP, ITEM], "pair_first_month")
-    items = recency.first_month(with_keys(spark, d), [ITEM], "item_first_month")
+    monthly = totals(spark, d)
+    pairs = recency.first_month(monthly, [SHOP, ITEM], "pair_first_month")
+    items = recency.first_month(with_keys(spark, d, monthly), [ITEM], "item_first_month")
     return pairs.join(items, ITEM, "left")
 
 
 @query("last_sale_shop_item")
 def last_sale_shop_item(spark, d):
-    monthly = panel.monthly_sales(clean(spark, d))
-    return recency.last_sale(with_keys(spark, d), monthly, [SHOP, ITEM], "last_sale_month").drop("item_quantity")
+    monthly = totals(spark, d)
+    return recency.last_sale(with_keys(spark, d, monthly), monthly, [SHOP, ITEM], "last_sale_month").drop("item_quantity")
 
 
 @query("last_sale_item")
 def last_sale_item(spark, d):
-    monthly = panel.monthly_sales(clean(spark, d))
-    return recency.last_sale(with_keys(spark, d), monthly, [ITEM], "last_sale_month").drop("item_quantity")
+    monthly = totals(spark, d)
+    return recency.last_sale(with_keys(spark, d, monthly), monthly, [ITEM], "last_sale_month").drop("item_quantity")
 
 
 @query("since_first")
@@ -468,12 +477,13 @@ def since_first(spark, d):
 
 @query("since_first_sale")
 def since_first_sale(spark, d):
-    monthly = panel.monthly_sales(clean(spark, d))
-    return recency.since_first_sale(with_keys(spark, d), monthly).drop("item_quantity")
+    monthly = totals(spark, d)
+    return recency.since_first_sale(with_keys(spark, d, monthly), monthly).drop("item_quantity")
 
 
 def senior_panel(spark: SparkSession, d: str) -> DataFrame:
-    return recency.seniority(with_keys(spark, d), panel.monthly_sales(clean(spark, d)))
+    monthly = totals(spark, d)
+    return recency.seniority(with_keys(spark, d, monthly), monthly)
 
 
 @query("item_seniority")
@@ -588,7 +598,7 @@ def one_hot(spark, d):
 @query("min_max_scale")
 def min_max_scale(spark, d):
     cols = ["item_price", "item_quantity"]
-    monthly = panel.monthly_price_units(categorised(spark, d)).withColumnRenamed("item_cnt_month", "item_quantity")
+    monthly = settle(panel.monthly_price_units(categorised(spark, d)).withColumnRenamed("item_cnt_month", "item_quantity"))
     train, _, _ = splits.time_split(monthly, 70, 71)
     return encode.min_max_scale(monthly, encode.fit_min_max(train, cols))
 
@@ -596,7 +606,7 @@ def min_max_scale(spark, d):
 @query("standardise")
 def standardise(spark, d):
     cols = ["item_price", "item_quantity"]
-    monthly = panel.monthly_price_units(categorised(spark, d)).withColumnRenamed("item_cnt_month", "item_quantity")
+    monthly = settle(panel.monthly_price_units(categorised(spark, d)).withColumnRenamed("item_cnt_month", "item_quantity"))
     train, _, _ = splits.time_split(monthly, 70, 71)
     scaled = encode.standardise(monthly, encode.fit_standard(train, cols))
     return scaled.withColumns({c: F.round(c, 6) for c in cols})
@@ -684,7 +694,7 @@ def segment_split(spark, d):
 
 
 def linear_rows(spark: SparkSession, d: str) -> DataFrame:
-    return panel.monthly_price_units(categorised(spark, d), F.col(MONTH) <= 60)
+    return settle(panel.monthly_price_units(categorised(spark, d), F.col(MONTH) <= 60))
 
 
 LINEAR_KEYS = (MONTH, "item_category_id", SHOP, ITEM)

@@ -8,7 +8,6 @@ sparse tables that share the item hash of the product.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,10 +17,9 @@ from shelfcast.config import ITEM, MONTH, SHOP, Encoding, Variant
 from shelfcast.functions.numeric import clip, days_in_month, mean, month_of_year, relative_delta, select_trend
 from shelfcast.operators.cleaning import clean_sales, clip_columns, fill_lags
 from shelfcast.operators.layout import BROADCAST_BYTES, expand, fits_broadcast, join_small
+from shelfcast.operators.panel import grid_partitions
 from shelfcast.operators.recency import seniority_code
-from shelfcast.session import in_parallel, parallelism, settle, settle_all, tune
-
-ROWS_PER_TASK = 4_000_000
+from shelfcast.session import in_parallel, settle, settle_all, tune
 
 
 def monthly_facts(sales: DataFrame, variant: Variant) -> DataFrame:
@@ -222,12 +220,7 @@ class FactoredPanel:
         many = item_side.select("*", *coded)
         join_on = [MONTH, *[f"_on_{k}" for k in keys]]
 
-        size = (
-            self.active_items.groupBy(MONTH).agg(F.count(F.lit(1)).alias("_i"))
-            .join(self.active_shops.groupBy(MONTH).agg(F.count(F.lit(1)).alias("_s")), MONTH)
-            .agg(F.sum(F.col("_i") * F.col("_s"))).first()[0] or 0
-        )
-        parts = max(parallelism(few.sparkSession), math.ceil(size / ROWS_PER_TASK))
+        parts = grid_partitions(self.facts)
         known = F.col(MONTH) < v.target_month
 
         # First months need every month; the narrow product for them carries keys only.

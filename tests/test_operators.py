@@ -91,7 +91,7 @@ def test_grid_size_is_the_product_per_month(spark):
     )
     grid = panel.active_grid(sales)
     assert grid.count() == 2 * 3 + 1
-    filled = panel.dense_panel(sales)
+    filled = panel.dense_panel(panel.monthly_sales(sales))
     assert filled.agg(F.sum("item_quantity")).first()[0] == 5.0
     assert filled.filter("item_quantity IS NULL").count() == 0
 
