@@ -11,8 +11,11 @@ from shelfcast.config import ITEM, KEYS, MONTH, SHOP
 
 
 def calendar_lags(panel: DataFrame, cols: Sequence[str], lags: Sequence[int]) -> DataFrame:
-    """One-month range frames. All lags of all columns share one partitioning and one sort; keys must be unique."""
-    by_pair = Window.partitionBy(SHOP, ITEM).orderBy(MONTH)
+    """One-month range frames. All lags of all columns share one partitioning and one sort; keys must be unique.
+
+    The item leads the partition keys: it has many values, so the sort seldom compares beyond it.
+    """
+    by_pair = Window.partitionBy(ITEM, SHOP).orderBy(MONTH)
     made = {
         f"{c}_lag_{k}": F.max(c).over(by_pair.rangeBetween(-k, -k)) for c in cols for k in lags
     }

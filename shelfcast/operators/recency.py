@@ -22,7 +22,8 @@ def last_sale(panel: DataFrame, monthly: DataFrame, keys: Sequence[str], out: st
     """
     sold = monthly.select(MONTH, *keys).distinct().withColumn("_sold", F.col(MONTH))
     points = panel if set(keys) == {SHOP, ITEM} else panel.select(MONTH, *keys).distinct()
-    earlier = Window.partitionBy(*keys).orderBy(MONTH).rangeBetween(Window.unboundedPreceding, -1)
+    by = sorted(keys, key=lambda k: k != ITEM)  # many-valued key first: cheaper sort
+    earlier = Window.partitionBy(*by).orderBy(MONTH).rangeBetween(Window.unboundedPreceding, -1)
     known = (
         points.join(sold.hint("shuffle_hash"), [MONTH, *keys], "left")
         .withColumn(out, F.max("_sold").over(earlier))
