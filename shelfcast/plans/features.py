@@ -81,8 +81,8 @@ class FactoredPanel:
                 F.sum("q").alias("q"), F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n")
             ),
         )
-        # Measured once: tables with at most one row per (month, shop) are broadcast only if this one may be.
-        self.few_shops = fits_broadcast(self.active_shops, max_bytes)
+        # Measured once: tables with at most one row per shop or (month, shop) are broadcast only if these two may be.
+        self.few_shops = all(in_parallel(*[lambda t=t: fits_broadcast(t, max_bytes) for t in (self.active_shops, self.shop_dim)]))
 
     def _of_shops(self, table: DataFrame) -> DataFrame:
         """Hint for a table no larger than the (month, shop) table or the shop table."""
