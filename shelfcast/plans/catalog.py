@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.config import CONSOLES, ITEM, KEYS, LONG_EXTRA, MONTH, SHOP, SHOP_REMAP, Encoding, Variant
+from shelfcast.config import CONSOLES, ITEM, KEYS, MONTH, SHOP, SHOP_REMAP, Encoding, Variant
 from shelfcast.functions import numeric, text
 from shelfcast.operators import (
     cleaning,
