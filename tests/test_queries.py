@@ -7,9 +7,11 @@ import os
 import pytest
 from compare import compare
 
+from shelfcast.plans.catalog import QUERIES
+from shelfcast.plans.oracle import ORACLES
+
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 WHOLE_TABLES = {n for n in QUERIES if n.startswith("features_")}  # row by row in test_features
 # One member per family keeps the default run short; SHELFCAST_ALL_QUERIES=1 runs every query.
 FAMILIES = ("mean_encode_", "lagged_mean_")
@@ -36,6 +38,11 @@ def test_every_oracle_has_a_query():
     }
 
 
+def test_entry_lists_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns[:4] == ["month_id", "shop_id", "item_id", "item_quantity"]
