@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.jaccard_join import op6_jaccard_join
+from shelfcast.llm.packing import op8_best_fit_packing
 from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join,)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing)
 
 
 def _tuned(fn: Query) -> Query:
