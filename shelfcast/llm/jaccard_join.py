@@ -18,7 +18,7 @@ Scale
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -168,9 +168,9 @@ def _slot(ids: np.ndarray) -> np.ndarray:
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(BITS, dtype=np.uint64)
+    bits = np.zeros(BITS, dtype=np.uint8)
     for batch in batches:
-        bits[_slot(batch.column("rep").to_numpy(zero_copy_only=False))] = 1
+        bits[_slot(batch.column("doc_id").to_numpy(zero_copy_only=False))] = 1
     rows = list(sketch.parts(bits, TaskContext.get().partitionId()))
     if rows:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))]
@@ -189,13 +189,16 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough, written."""
-    both = (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
-        .select("a", "b", "left", "right")
-    )
+def _verified(pairs: DataFrame, named: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough, written. Only the sets they need are made and moved."""
+    pairs = settle(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    bits = sketch.summed(wanted.mapInArrow(_mark, sketch.PART_SCHEMA), BITS)
+    shared = sketch.shared(named, (bits > 0).astype(np.uint8))
+    sets = settle(named.mapInArrow(partial(_sets, k=k, wanted=shared), "doc_id long, shingles binary"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return settle(both.mapInArrow(partial(_similar, percent=percent), "a long, b long"))
 
 
@@ -206,57 +209,90 @@ def _sizes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_shingles"])
 
 
-def _pivot_links(live: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the groups of a shingle and one pivot for each class of sizes; within a group, to its first."""
+def _enough(percent: int):
+    """Whether ``shared`` prefix shingles of sets of n_a and n_b can still lead to the threshold.
+
+    What two similar sets share outside both prefixes lies in the rest of the one whose prefix ends first.
+    """
+    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    rest = F.ceil(percent * F.greatest("n_a", "n_b") / 100) - 1
+    return (F.col("shared") >= needed - rest) & (
+        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    )
+
+
+def _pivot_links(live: DataFrame, nodes: DataFrame, verify: Callable, percent: int) -> DataFrame:
+    """Links between the groups of a shingle and one pivot for each class of sizes; within a group, to its first.
+
+    What is not looked at here is left to ``_remaining_links``.
+    """
     first = nodes.groupBy("gid").agg(F.min("rep").alias("first"))
-    scale = F.floor(F.log(F.col("n")) / math.log(100 / percent))
-    sized = live.withColumn("scale", scale)
-    pivots = sized.groupBy("token", "scale").agg(F.min("gid").alias("pivot"), F.max("gid").alias("most"))
+    sized = live.withColumn("scale", F.floor(F.log(F.col("n")) / math.log(100 / percent)))
+    pivots = sized.groupBy("token", "scale").agg(
+        F.min(F.struct("gid", "n")).alias("pivot"), F.max("gid").alias("most")
+    )
     met = (
-        sized.join(pivots.where("pivot < most").drop("most"), ["token", "scale"])
-        .where("gid != pivot")
-        .select("gid", "pivot")
-        .distinct()
+        sized.join(pivots.where("pivot.gid < most"), ["token", "scale"])
+        .where("gid != pivot.gid")
+        .groupBy("gid", F.col("n").alias("n_b"), F.col("pivot.gid").alias("pivot"), F.col("pivot.n").alias("n_a"))
+        .agg(F.count("*").alias("shared"))
+        .where(_enough(percent))
     )
     across = (
-        met.join(nodes.select("gid", F.col("rep").alias("b")), "gid")
+        met.select("gid", "pivot")
+        .join(nodes.select("gid", F.col("rep").alias("b")), "gid")
         .join(first.select(F.col("gid").alias("pivot"), F.col("first").alias("a")), "pivot")
         .select("a", "b")
     )
     within = nodes.join(first, "gid").where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
-    return _verified(across.unionByName(within).where("a != b").distinct(), sets, percent)
+    return verify(across.unionByName(within).where("a != b").distinct())
 
 
 def _remaining_links(
-    live: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int
+    live: DataFrame, nodes: DataFrame, labels: DataFrame, verify: Callable, percent: int
 ) -> DataFrame:
     """Links among the candidates of a shingle, or of a group, that lie in different components so far."""
-    labelled = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "gid", "rep", "n", F.coalesce("component", "rep").alias("label")
+    labelled = settle(
+        nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "gid", "rep", F.coalesce("component", "rep").alias("label")
+        )
     )
-    by_token = live.select("gid", "token", F.lit(False).alias("own")).join(labelled, "gid")
-    by_group = labelled.withColumn("token", F.col("gid")).withColumn("own", F.lit(True))
-    rows = by_token.unionByName(by_group).select("token", "own", "label", "rep", "n")
-    key = ["token", "own"]
-    open_keys = rows.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    rows = settle(rows.join(open_keys.select(*key), key))
-    runs = rows.groupBy(*key, "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left, right = (runs.select(*key, *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most")]) for s in "ab")
-    meets = left.join(right, key).where(
+    parts = live.join(labelled.select("gid", "label").distinct(), "gid")
+    spread = parts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    rows = settle(parts.join(spread.select("token"), "token").select("token", "label", "gid", "n"))
+    runs = rows.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    left, right = (runs.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most")]) for s in "ab")
+    meets = left.join(right, "token").where(
         (F.col("label_a") < F.col("label_b"))
         & (100 * F.col("most_a") >= percent * F.col("least_b"))
         & (100 * F.col("most_b") >= percent * F.col("least_a"))
     )
-    a, b = (rows.select(*key, *[F.col(c).alias(f"{c}_{s}") for c in ("label", "rep", "n")]) for s in "ab")
+    a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n")]) for s in "ab")
+    across = (
+        meets.select("token", "label_a", "label_b")
+        .join(a, ["token", "label_a"])
+        .join(b, ["token", "label_b"])
+        .where("gid_a != gid_b")
+        .groupBy("gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b")
+        .agg(F.count("*").alias("shared"))
+        .where(_enough(percent))
+        .select("gid_a", "label_a", "gid_b", "label_b")
+    )
+    mixed = labelled.select("gid", "label").distinct()
+    x, y = (mixed.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
+    within = x.join(y, (F.col("gid_a") == F.col("gid_b")) & (F.col("label_a") < F.col("label_b")))
+    members_a, members_b = (
+        labelled.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}"), F.col("rep").alias(s))
+        for s in "ab"
+    )
     pairs = (
-        meets.select(*key, "label_a", "label_b")
-        .join(a, [*key, "label_a"])
-        .join(b, [*key, "label_b"])
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+        across.unionByName(within.select(*across.columns))
+        .join(members_a, ["gid_a", "label_a"])
+        .join(members_b, ["gid_b", "label_b"])
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    return _verified(pairs, sets, percent)
+    return verify(pairs)
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -270,7 +306,6 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     component_id is null. Rows that share a doc_id are one node and each keep their own n_shingles. Other columns of
     ``docs`` are ignored, whatever their names. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     named = docs.where("doc_id IS NOT NULL")
     counted = named.select("text").mapInArrow(partial(_count, k=k), sketch.PART_SCHEMA)
@@ -291,16 +326,12 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     # Nodes that may have a partner: of groups that meet another one, or that hold several classes.
     met = live.select("gid").union(groups.where("classes > 1").select("gid")).distinct()
     nodes = settle(classes.join(met, "gid").select("gid", "n", "rep"))
-    bits = sketch.summed(nodes.select("rep").mapInArrow(_mark, sketch.PART_SCHEMA), BITS)
-    wanted = sketch.shared(docs, (bits > 0).astype(np.uint8))
-    sets = settle(
-        named.mapInArrow(partial(_sets, k=k, wanted=wanted), "doc_id long, shingles binary")
-        .join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-        .select("doc_id", "shingles")
-    )
 
-    links = _pivot_links(live, nodes, sets, percent)
-    links = links.unionByName(_remaining_links(live, nodes, components(links), sets, percent))
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, named, k, percent)
+
+    links = _pivot_links(live, nodes, verify, percent)
+    links = links.unionByName(_remaining_links(live, nodes, components(links), verify, percent))
     placed = members.join(classes.select("n", "gid", "d1", "d2", "rep"), ["n", "gid", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")
     )
