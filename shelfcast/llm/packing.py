@@ -120,8 +120,10 @@ def best_fit_pack(
     counts = {r.length: r.n for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = docs.sparkSession.sparkContext.broadcast(placements(complete(counts, capacity, **search), capacity))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    before = by_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    numbered = pieces.join(before, ["length", "task"]).withColumn("number", F.col("number") + F.col("before"))
+    # One key of both, so that a length that many pieces share is still dealt over the tasks it came from.
+    slot = (F.col("task").cast("long") * (capacity + 1) + F.col("length")).alias("slot")
+    before = by_task.select(slot, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = pieces.withColumn("slot", slot).join(before, "slot").withColumn("number", F.col("number") + F.col("before"))
     name = column.split()[0]
     return numbered.select("doc_id", "piece", "start", "length", name, "number").mapInArrow(
         partial(_place, shared=runs),
