@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.jaccard_join import op6_jaccard_join
 from shelfcast.llm.packing import op8_best_fit_packing
+from shelfcast.llm.pii import op9_personal_data
 from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data)
 
 
 def _tuned(fn: Query) -> Query:
