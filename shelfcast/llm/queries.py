@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.llm.jaccard_join import op6_jaccard_join
 from shelfcast.llm.packing import op8_best_fit_packing
 from shelfcast.llm.pii import op9_personal_data
+from shelfcast.llm import quality
+from shelfcast.llm.quality import op4_quality_classifier
 from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier)
 
 
 def _tuned(fn: Query) -> Query:
@@ -21,4 +23,4 @@ def _tuned(fn: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in _FUNCTIONS}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_quality_classifier": quality.SQL}
