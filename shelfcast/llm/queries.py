@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.jaccard_join import op6_jaccard_join
+from shelfcast.llm.mixing import op5_mixing
 from shelfcast.llm.packing import op8_best_fit_packing
 from shelfcast.llm.pii import op9_personal_data
-from shelfcast.llm import quality
+import corpus_pipeline
+from shelfcast.llm import mixing, quality
 from shelfcast.llm.quality import op4_quality_classifier
 from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing)
 
 
 def _tuned(fn: Query) -> Query:
@@ -23,4 +25,7 @@ def _tuned(fn: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in _FUNCTIONS}
-ORACLES: dict[str, str] = {"op4_quality_classifier": quality.SQL}
+ORACLES: dict[str, str] = {"op4_quality_classifier": quality.SQL, "op5_mixing": mixing.SQL}
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
