@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.jaccard_join import op6_jaccard_join
+from shelfcast.llm.lattice import op2_lattice_near_dup
 from shelfcast.llm.mixing import op5_mixing
 from shelfcast.llm.packing import op8_best_fit_packing
 from shelfcast.llm.pii import op9_personal_data
@@ -17,7 +18,7 @@ from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup)
 
 
 def _tuned(fn: Query) -> Query:
