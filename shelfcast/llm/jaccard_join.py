@@ -10,15 +10,15 @@ Scale
   passages that many documents share out of the prefixes.
 * Prefixes travel as packed arrays, one per slice of text and bucket; shingles met once end there.
 * Copies fall into one class (size and 128-bit digest of the set) before anything is compared.
-* Candidates of a shingle are first compared with one pivot each. What the pivots connect needs no further look: only
-  candidates that still lie in different components are paired, so a group of near copies costs its size, not its
-  square.
+* Candidates of a shingle are first compared with one pivot, for some turns. What the pivots connect needs no further
+  look: in the end only candidates that still lie in different components are paired, so a group of near copies costs
+  its size, not its square.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -37,6 +37,7 @@ BITS = 1 << 23
 BUCKET_POSTINGS = 500_000
 HOT = 200_000
 SALTS = 256
+PIVOT_TURNS = 6
 _MOVED = "bucket long, docs binary, postings binary"
 _FOUND = "kind int, a long, n long, gid long, d1 long, d2 long"
 
@@ -221,45 +222,59 @@ def _enough(percent: int):
     )
 
 
-def _pivot_links(live: DataFrame, nodes: DataFrame, verify: Callable, percent: int) -> DataFrame:
-    """Links between the groups of a shingle and one pivot for each class of sizes; within a group, to its first.
+def _within(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each group's first class with its other ones."""
+    first = nodes.groupBy("gid").agg(F.min("rep").alias("a"))
+    return nodes.join(first, "gid").where("rep != a").select("a", F.col("rep").alias("b"))
 
-    What is not looked at here is left to ``_remaining_links``.
+
+def _open_rows(live: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(token, label, gid, n) of the shingles whose groups still lie in different components, written."""
+    parts = live.join(labelled.select("gid", "label").distinct(), "gid")
+    spread = parts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return settle(parts.join(spread.select("token"), "token").select("token", "label", "gid", "n"))
+
+
+def _pivot_pairs(rows: DataFrame, labelled: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b): one pivot for each shingle and class of sizes, with the groups in other components than it.
+
+    Pivots are the first in one random order of groups, another each turn, so that a pair counts all it shares.
     """
-    first = nodes.groupBy("gid").agg(F.min("rep").alias("first"))
-    sized = live.withColumn("scale", F.floor(F.log(F.col("n")) / math.log(100 / percent)))
+    scale = F.floor(F.log(F.col("n")) / math.log(100 / percent))
+    sized = rows.withColumn("scale", scale).withColumn("place", F.xxhash64("gid", F.lit(turn)))
     pivots = sized.groupBy("token", "scale").agg(
-        F.min(F.struct("gid", "n")).alias("pivot"), F.max("gid").alias("most")
+        F.min(F.struct("place", "gid", "label", "n")).alias("pivot"), F.count("*").alias("size")
     )
     met = (
-        sized.join(pivots.where("pivot.gid < most"), ["token", "scale"])
-        .where("gid != pivot.gid")
-        .groupBy("gid", F.col("n").alias("n_b"), F.col("pivot.gid").alias("pivot"), F.col("pivot.n").alias("n_a"))
-        .agg(F.count("*").alias("shared"))
-        .where(_enough(percent))
-    )
-    across = (
-        met.select("gid", "pivot")
-        .join(nodes.select("gid", F.col("rep").alias("b")), "gid")
-        .join(first.select(F.col("gid").alias("pivot"), F.col("first").alias("a")), "pivot")
-        .select("a", "b")
+        sized.join(pivots.where("size > 1").drop("size"), ["token", "scale"])
+        .where("gid != pivot.gid AND label != pivot.label")
+        .select(
+            F.col("pivot.gid").alias("gid_a"), F.col("pivot.label").alias("label_a"), F.col("pivot.n").alias("n_a"),
+            F.col("gid").alias("gid_b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"),
+        )
     )
-    within = nodes.join(first, "gid").where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
-    return verify(across.unionByName(within).where("a != b").distinct())
+    return _members(_counted(met, percent), labelled)
 
 
-def _remaining_links(
-    live: DataFrame, nodes: DataFrame, labels: DataFrame, verify: Callable, percent: int
-) -> DataFrame:
-    """Links among the candidates of a shingle, or of a group, that lie in different components so far."""
-    labelled = settle(
-        nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "gid", "rep", F.coalesce("component", "rep").alias("label")
-        )
+def _counted(met: DataFrame, percent: int) -> DataFrame:
+    """The meetings that share enough shingles, each once."""
+    sides = ["gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b"]
+    enough = met.groupBy(*sides).agg(F.count("*").alias("shared")).where(_enough(percent))
+    return enough.select("gid_a", "label_a", "gid_b", "label_b")
+
+
+def _members(groups: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Expand pairs of groups to the pairs (a, b) of their members."""
+    a, b = (
+        labelled.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}"), F.col("rep").alias(s))
+        for s in "ab"
     )
-    parts = live.join(labelled.select("gid", "label").distinct(), "gid")
-    spread = parts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    rows = settle(parts.join(spread.select("token"), "token").select("token", "label", "gid", "n"))
+    pairs = groups.join(a, ["gid_a", "label_a"]).join(b, ["gid_b", "label_b"])
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _all_pairs(rows: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs (a, b) whose components differ."""
     runs = rows.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     left, right = (runs.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most")]) for s in "ab")
     meets = left.join(right, "token").where(
@@ -268,31 +283,38 @@ def _remaining_links(
         & (100 * F.col("most_b") >= percent * F.col("least_a"))
     )
     a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n")]) for s in "ab")
-    across = (
-        meets.select("token", "label_a", "label_b")
-        .join(a, ["token", "label_a"])
-        .join(b, ["token", "label_b"])
+    met = (
+        meets.select("token", "label_a", "label_b").join(a, ["token", "label_a"]).join(b, ["token", "label_b"])
         .where("gid_a != gid_b")
-        .groupBy("gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b")
-        .agg(F.count("*").alias("shared"))
-        .where(_enough(percent))
-        .select("gid_a", "label_a", "gid_b", "label_b")
     )
-    mixed = labelled.select("gid", "label").distinct()
-    x, y = (mixed.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
+    parts = labelled.select("gid", "label").distinct()
+    x, y = (parts.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
     within = x.join(y, (F.col("gid_a") == F.col("gid_b")) & (F.col("label_a") < F.col("label_b")))
-    members_a, members_b = (
-        labelled.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}"), F.col("rep").alias(s))
-        for s in "ab"
-    )
-    pairs = (
-        across.unionByName(within.select(*across.columns))
-        .join(members_a, ["gid_a", "label_a"])
-        .join(members_b, ["gid_b", "label_b"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    return verify(pairs)
+    across = _counted(met, percent)
+    return _members(across.unionByName(within.select(*across.columns)), labelled)
+
+
+def _links(live: DataFrame, nodes: DataFrame, named: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect whatever all links would connect.
+
+    Turns with pivots cost as much as there are postings. They go on while pairing all that is still apart would cost
+    more than that, for PIVOT_TURNS at most; then all that is still apart is paired.
+    """
+    links = _verified(_within(nodes), named, k, percent)
+    for turn in range(PIVOT_TURNS + 1):
+        labels = components(links).withColumnRenamed("node", "rep")
+        labelled = settle(
+            nodes.join(labels, "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("label"))
+        )
+        rows = _open_rows(live, labelled)
+        spread = rows.groupBy("token").agg(F.count_distinct("label").cast("double").alias("l"), F.count("*").alias("n"))
+        pairs, postings = spread.agg(F.sum(F.expr("l * (l - 1) / 2")), F.sum("n")).first()
+        last = turn == PIVOT_TURNS or (pairs or 0) <= (postings or 0)
+        found = _all_pairs(rows, labelled, percent) if last else _pivot_pairs(rows, labelled, percent, turn)
+        links = links.unionByName(_verified(found, named, k, percent))
+        if last:
+            break
+    return links
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -326,12 +348,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     # Nodes that may have a partner: of groups that meet another one, or that hold several classes.
     met = live.select("gid").union(groups.where("classes > 1").select("gid")).distinct()
     nodes = settle(classes.join(met, "gid").select("gid", "n", "rep"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, named, k, percent)
-
-    links = _pivot_links(live, nodes, verify, percent)
-    links = links.unionByName(_remaining_links(live, nodes, components(links), verify, percent))
+    links = _links(live, nodes, named, k, percent)
     placed = members.join(classes.select("n", "gid", "d1", "d2", "rep"), ["n", "gid", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")
     )
