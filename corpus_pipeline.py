@@ -8,19 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import prepared
 from shelfcast.llm.jaccard_join import jaccard_join
 from shelfcast.llm.mixing import sample_mix
 from shelfcast.llm.packing import best_fit_pack, vocabulary
 from shelfcast.llm.pii import sanitise
 from shelfcast.llm.quality import keep_good
-from shelfcast.session import settle, tune
+from shelfcast.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    tune(spark)
+    prepared(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -29,7 +30,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Of rows that repeat a doc_id only one stays. Documents without an id cannot be told apart and all stay.
     """
-    tune(spark)
+    prepared(spark)
     groups = jaccard_join(docs)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
@@ -38,19 +39,19 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced or removed."""
-    tune(spark)
+    prepared(spark)
     return sanitise(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn in the target mix of sources, languages and topics."""
-    tune(spark)
+    prepared(spark)
     return sample_mix(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
-    tune(spark)
+    prepared(spark)
     return best_fit_pack(docs, *vocabulary(), payload="crc32")
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.llm.ann import op10_inverted_multi_index
+from shelfcast.llm.common import prepared
 from shelfcast.llm.jaccard_join import op6_jaccard_join
 from shelfcast.llm.lattice import op2_lattice_near_dup
 from shelfcast.llm.mixing import op5_mixing
@@ -14,15 +16,14 @@ from shelfcast.llm.pii import op9_personal_data
 import corpus_pipeline
 from shelfcast.llm import mixing, quality
 from shelfcast.llm.quality import op4_quality_classifier
-from shelfcast.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup, op10_inverted_multi_index)
 
 
 def _tuned(fn: Query) -> Query:
-    return lambda spark, sf_dir: fn(tune(spark), sf_dir)
+    return lambda spark, sf_dir: fn(prepared(spark), sf_dir)
 
 
 QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in _FUNCTIONS}
