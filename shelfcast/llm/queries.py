@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.llm.ann import op10_inverted_multi_index
 from shelfcast.llm.common import prepared
 from shelfcast.llm.jaccard_join import op6_jaccard_join
+from shelfcast.llm.language import op3_language_id
 from shelfcast.llm.lattice import op2_lattice_near_dup
 from shelfcast.llm.mixing import op5_mixing
 from shelfcast.llm.packing import op8_best_fit_packing
@@ -19,7 +20,7 @@ from shelfcast.llm.quality import op4_quality_classifier
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup, op10_inverted_multi_index)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup, op10_inverted_multi_index, op3_language_id)
 
 
 def _tuned(fn: Query) -> Query:
