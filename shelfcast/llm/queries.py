@@ -11,6 +11,7 @@ from shelfcast.llm.common import prepared
 from shelfcast.llm.jaccard_join import op6_jaccard_join
 from shelfcast.llm.language import op3_language_id
 from shelfcast.llm.lattice import op2_lattice_near_dup
+from shelfcast.llm.licences import op7_licence_scan
 from shelfcast.llm.mixing import op5_mixing
 from shelfcast.llm.packing import op8_best_fit_packing
 from shelfcast.llm.pii import op9_personal_data
@@ -20,7 +21,7 @@ from shelfcast.llm.quality import op4_quality_classifier
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup, op10_inverted_multi_index, op3_language_id)
+_FUNCTIONS: tuple[Query, ...] = (op6_jaccard_join, op8_best_fit_packing, op9_personal_data, op4_quality_classifier, op5_mixing, op2_lattice_near_dup, op10_inverted_multi_index, op3_language_id, op7_licence_scan)
 
 
 def _tuned(fn: Query) -> Query:

@@ -68,9 +68,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, bounds of the words of each row) of the maximal runs without white space."""
-    solid = ~_SPACE[data]
+SOLID = ~_SPACE
+
+
+def word_spans(
+    data: np.ndarray, bounds: np.ndarray, solid_bytes: np.ndarray = SOLID
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bounds of the words of each row) of the maximal runs of ``solid_bytes``: no white space."""
+    solid = solid_bytes[data]
     before = np.empty_like(solid)
     after = np.empty_like(solid)
     if len(data):
