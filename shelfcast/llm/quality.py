@@ -43,18 +43,27 @@ def _thousandths(part: Column, whole: Column) -> Column:
     return F.floor(part * 1000 / whole)
 
 
-def features(text: Column) -> dict[str, Column]:
-    """Bin of each feature; NO_EVIDENCE for an empty text."""
-    n = F.length(text)
+def _measured(text: Column) -> list[Column]:
+    """What the features are made of, in columns of their own so that each is computed once."""
     words, lines = F.split(text, " "), F.split(text, "\n")
-    variety = _bin(_thousandths(F.size(F.array_distinct(words)), F.size(words)), EDGES["variety"])
+    return [
+        F.length(text).alias("_chars"), F.regexp_count(text, F.lit(SYMBOLS)).alias("_symbols"),
+        F.regexp_count(text, F.lit(CAPITALS)).alias("_capitals"), F.size(words).alias("_words"),
+        F.size(F.array_distinct(words)).alias("_kinds"), F.size(lines).alias("_lines"),
+        F.size(F.array_distinct(lines)).alias("_line_kinds"),
+    ]
+
+
+def _features() -> list[Column]:
+    """Bin of each feature from the measured columns; NO_EVIDENCE for an empty text."""
     out = {
-        "symbols": _bin(_thousandths(F.regexp_count(text, F.lit(SYMBOLS)), n), EDGES["symbols"]),
-        "capitals": _bin(_thousandths(F.regexp_count(text, F.lit(CAPITALS)), n), EDGES["capitals"]),
-        "repeats": _bin(F.size(words), EDGES["words"]) * 100 + variety,
-        "lines": _bin(_thousandths(F.size(F.array_distinct(lines)), F.size(lines)), EDGES["lines"]),
+        "symbols": _bin(_thousandths(F.col("_symbols"), F.col("_chars")), EDGES["symbols"]),
+        "capitals": _bin(_thousandths(F.col("_capitals"), F.col("_chars")), EDGES["capitals"]),
+        "repeats": _bin(F.col("_words"), EDGES["words"]) * 100
+        + _bin(_thousandths(F.col("_kinds"), F.col("_words")), EDGES["variety"]),
+        "lines": _bin(_thousandths(F.col("_line_kinds"), F.col("_lines")), EDGES["lines"]),
     }
-    return {k: F.when(n > 0, v).otherwise(NO_EVIDENCE).cast("int").alias(k) for k, v in out.items()}
+    return [F.when(F.col("_chars") > 0, v).otherwise(NO_EVIDENCE).cast("int").alias(k) for k, v in out.items()]
 
 
 def _bins_of(feature: str) -> int:
@@ -146,8 +155,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     empty = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), *carry, F.coalesce(host, F.lit("")).alias("host"),
-        F.coalesce(path, F.lit("")).alias("path"), *features(empty).values(),
-    )
+        F.coalesce(path, F.lit("")).alias("path"), *_measured(empty),
+    ).select("doc_id", *carry, "host", "path", *_features())
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").cast("int").alias("quality")
     )
