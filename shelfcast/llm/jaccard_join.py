@@ -65,7 +65,7 @@ def _digest(one: np.ndarray) -> tuple[np.uint64, np.uint64]:
 
 
 def _prefixes(
-    batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Broadcast, buckets: int
+    batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Broadcast, buckets: int, hot_from: int
 ) -> Iterator[pa.RecordBatch]:
     """Packed rows: (doc_id, n, group, digest) of every document and (shingle, group) of every new group's prefix."""
     counts = sketch.opened(order.value, np.uint32)
@@ -101,7 +101,7 @@ def _prefixes(
             _deal(out, 0, (table[:, 2].view(np.uint64) % np.uint64(buckets)), table)
             if tokens:
                 token, group = np.concatenate(tokens), np.concatenate(groups)
-                hot = counts[(token & np.uint64(COUNTERS - 1)).view(np.int64)] >= HOT
+                hot = counts[(token & np.uint64(COUNTERS - 1)).view(np.int64)] >= hot_from
                 to = (token >> np.uint64(20)) % np.uint64(buckets)
                 # A shingle that may be in very many prefixes is dealt over many buckets.
                 spread = np.uint64(buckets) + (token + group % np.uint64(SALTS)) % np.uint64(SALTS)
@@ -334,7 +334,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     counts = sketch.summed(counted, COUNTERS)
     buckets = max(64, math.ceil(int(counts.sum()) * (100 - percent) / 100 / BUCKET_POSTINGS))
     order = sketch.shared(docs, np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
-    moved = named.mapInArrow(partial(_prefixes, k=k, percent=percent, order=order, buckets=buckets), _MOVED)
+    moved = named.mapInArrow(partial(_prefixes, k=k, percent=percent, order=order, buckets=buckets, hot_from=HOT), _MOVED)
     found = settle(moved.groupBy("bucket").applyInArrow(lambda table: _meet(table, buckets), _FOUND))
 
     members = found.where("kind = 0").select(F.col("a").alias("doc_id"), "n", "gid", "d1", "d2")
