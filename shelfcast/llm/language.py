@@ -158,7 +158,7 @@ def identify_languages(docs: DataFrame, learn, sample: int = SAMPLE) -> DataFram
     chosen = join_small(known, shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.col("share")) == 0)
     fitted = (
         chosen.select("doc_id", "text", "lang").groupBy("lang")
-        .applyInPandas(partial(_fit, idf=shared), "lang string, radius double, centre binary")
+        .applyInPandas(lambda rows: _fit(rows, shared), "lang string, radius double, centre binary")
         .orderBy("lang", "centre").collect()  # CENTROIDS rows per language
     )
     fitted = [r for r in fitted if np.frombuffer(r.centre, dtype="<f4").any()]
