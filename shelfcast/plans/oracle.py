@@ -169,26 +169,21 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body, ())
     if not wanted:
         return body
-    heads = ",\n".join(f"{n} AS ({blocks[n]})" for n in wanted)
+    heads = ",\n".join(f"{n} AS MATERIALIZED ({blocks[n]})" for n in wanted)
     return f"WITH {heads}\n{body}"
 
 
 ALL_SALES = "date, month_id, shop_id, item_id, CAST(item_price AS DOUBLE) AS item_price, item_quantity"
 
 
-def lag_joins(src: str, cols: dict[str, str], lags: tuple[int, ...] | list[int]) -> tuple[str, str]:
-    """Select list and joins that shift a table by whole months; cols maps source column → output stem."""
-    picks = ", ".join(f"l{k}.{c} AS {stem}_lag_{k}" for c, stem in cols.items() for k in lags)
-    joins = " ".join(
-        f"LEFT JOIN {src} l{k} ON l{k}.month_id = p.month_id - {k} AND l{k}.shop_id = p.shop_id AND l{k}.item_id = p.item_id"
-        for k in lags
-    )
-    return picks, joins
+def months_back(col: str, k: int) -> str:
+    """``col`` of the pair's own row k months earlier, NULL without such a row; (month, shop, item) must be unique."""
+    return f"max({col}) OVER (PARTITION BY shop_id, item_id ORDER BY month_id RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING)"
 
 
 def lag_sql(src: str, lags: list[int]) -> str:
-    picks, joins = lag_joins(src, {"item_quantity": "item_quantity"}, lags)
-    return f"SELECT p.month_id, p.shop_id, p.item_id, p.item_quantity, {picks} FROM {src} p {joins}"
+    picks = ", ".join(f"{months_back('item_quantity', k)} AS item_quantity_lag_{k}" for k in lags)
+    return f"SELECT month_id, shop_id, item_id, item_quantity, {picks} FROM {src}"
 
 
 # Lagged group means: the pair must exist k months earlier, then its group's mean is read there.
@@ -197,8 +192,8 @@ def lagged_mean_sql(keys: tuple[str, ...], lags: tuple[int, ...]) -> str:
     on = " AND ".join(f"g.{c} = r.{c}" for c in cols)
     means = f"SELECT {', '.join(cols)}, sum(item_quantity) / count(*) AS m FROM rich GROUP BY ALL"
     held = f"SELECT r.month_id, r.shop_id, r.item_id, g.m AS m FROM rich r LEFT JOIN ({means}) g ON {on}"
-    picks, joins = lag_joins("held", {"m": "mean_q"}, lags)
-    return with_ctes(f"SELECT p.month_id, p.shop_id, p.item_id, {picks} FROM panel p {joins}", {"held": held})
+    picks = ", ".join(f"{months_back('m', k)} AS mean_q_lag_{k}" for k in lags)
+    return with_ctes(f"SELECT month_id, shop_id, item_id, {picks} FROM held", {"held": held})
 
 
 def mean_sql(keys: tuple[str, ...]) -> str:
@@ -213,13 +208,8 @@ def walk_sql(ks: list[int]) -> str:
 
 def delta_rows(ks: list[int]) -> str:
     """Price deltas per panel row, read through the pair's row k months earlier."""
-    picks = ", ".join(f"x{k}.delta AS d{k}" for k in ks)
-    joins = " ".join(
-        f"LEFT JOIN panel l{k} ON l{k}.month_id = p.month_id - {k} AND l{k}.shop_id = p.shop_id AND l{k}.item_id = p.item_id "
-        f"LEFT JOIN price_delta x{k} ON x{k}.month_id = l{k}.month_id AND x{k}.item_id = l{k}.item_id"
-        for k in ks
-    )
-    return f"SELECT p.month_id, p.shop_id, p.item_id, {picks} FROM panel p {joins}"
+    picks = ", ".join(f"{months_back('delta', k)} AS d{k}" for k in ks)
+    return f"SELECT month_id, shop_id, item_id, {picks} FROM panel LEFT JOIN price_delta USING (month_id, item_id)"
 
 
 def describe_sql(source: str, cols: list[str]) -> str:
@@ -269,7 +259,8 @@ def features_sql(
     stems = [("item_quantity", lags), *[(e.name, e.lags) for e in encodings]]
     if revenue:
         stems.append(("delta_revenue", (1,)))
-    used = sorted({k for _, ks in stems for k in ks} | set(price_lags))
+    back = [(stem, k) for stem, ks in stems for k in ks] + [("price_delta", k) for k in price_lags]
+    blocks["lagged_held"] = "SELECT *, " + ", ".join(f"{months_back(c, k)} AS {c}_back_{k}" for c, k in back) + " FROM held"
 
     def shown(expr: str, name: str) -> str:
         if "_lag_" in name and any(p in name for p in fill):
@@ -279,17 +270,17 @@ def features_sql(
         return f"{expr} AS {name}"
 
     picks = [shown("p.item_quantity", "item_quantity")]
-    picks += [shown(f"l{k}.{stem}", f"{stem}_lag_{k}") for stem, ks in stems for k in ks]
+    picks += [shown(f"p.{stem}_back_{k}", f"{stem}_lag_{k}") for stem, ks in stems for k in ks]
     if price_lags:
-        arms = " ".join(f"WHEN l{k}.price_delta IS NULL THEN 0 WHEN l{k}.price_delta <> 0 THEN l{k}.price_delta" for k in price_lags)
+        arms = " ".join(
+            f"WHEN p.price_delta_back_{k} IS NULL THEN 0 WHEN p.price_delta_back_{k} <> 0 THEN p.price_delta_back_{k}"
+            for k in price_lags
+        )
         picks.append(f"CASE {arms} ELSE 0 END AS delta_price_lag")
     if senior:
         blocks["senior_rows"] = "SELECT month_id, shop_id, item_id, item_seniority FROM senior"
         picks.append("s.item_seniority")
-    joins = " ".join(
-        f"LEFT JOIN held l{k} ON l{k}.month_id = p.month_id - {k} AND l{k}.shop_id = p.shop_id AND l{k}.item_id = p.item_id"
-        for k in used
-    )
+    joins = ""
     if senior:
         joins += " JOIN senior_rows s ON s.month_id = p.month_id AND s.shop_id = p.shop_id AND s.item_id = p.item_id"
     blocks["firsts"] = "SELECT shop_id, item_id, min(month_id) AS pm FROM panel GROUP BY ALL"
@@ -298,7 +289,7 @@ def features_sql(
         p.month_id % 12 AS month,
         [31,28,31,30,31,30,31,31,30,31,30,31][p.month_id % 12 + 1] AS {days},
         p.month_id - pm AS item_shop_first_sale, p.month_id - im AS item_first_sale
-        FROM held p {joins}
+        FROM lagged_held p {joins}
         JOIN firsts f ON f.shop_id = p.shop_id AND f.item_id = p.item_id
         JOIN item_firsts g ON g.item_id = p.item_id WHERE p.month_id > {burn_in}"""
     return with_ctes(body, blocks)
@@ -419,16 +410,13 @@ _BODIES: dict[str, str] = {
     "active_grid": "SELECT month_id, shop_id, item_id FROM grid",
     "grid_fill_zero": "SELECT month_id, shop_id, item_id, item_quantity FROM dense",
     "union_test_keys": "SELECT month_id, shop_id, item_id, item_quantity FROM panel",
-    "lag_selfjoin": "SELECT month_id, shop_id, item_id, item_quantity, "
-    + ", ".join(
-        f"max(item_quantity) OVER (PARTITION BY shop_id, item_id ORDER BY month_id RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING) AS item_quantity_lag_{k}"
-        for k in (1, 2, 3)
-    )
-    + " FROM dense",
+    "lag_selfjoin": lag_sql("dense", [1, 2, 3]),
     "lag_range": lag_sql("panel", [1, 2, 3, 6, 12]),
     "burn_in": f"SELECT * FROM ({lag_sql('dense', [1])}) WHERE month_id > 2",
-    "fill_lags": "SELECT p.month_id, p.shop_id, p.item_id, p.item_quantity, CAST(1 AS DOUBLE) AS presence, coalesce(l.item_quantity, 0) AS item_quantity_lag_1, CASE WHEN l.month_id IS NOT NULL THEN CAST(1 AS DOUBLE) END AS presence_lag_1 FROM dense p LEFT JOIN dense l ON l.month_id = p.month_id - 1 AND l.shop_id = p.shop_id AND l.item_id = p.item_id",
-    "clip_target": "SELECT p.month_id, p.shop_id, p.item_id, CASE WHEN p.item_quantity > 20 THEN 20 ELSE p.item_quantity END AS item_quantity, CASE WHEN l.item_quantity > 20 THEN 20 ELSE l.item_quantity END AS item_quantity_lag_1 FROM dense p LEFT JOIN dense l ON l.month_id = p.month_id - 1 AND l.shop_id = p.shop_id AND l.item_id = p.item_id",
+    "fill_lags": "SELECT month_id, shop_id, item_id, item_quantity, CAST(1 AS DOUBLE) AS presence, "
+    + f"coalesce({months_back('item_quantity', 1)}, 0) AS item_quantity_lag_1, {months_back('CAST(1 AS DOUBLE)', 1)} AS presence_lag_1 FROM dense",
+    "clip_target": "SELECT month_id, shop_id, item_id, least(item_quantity, 20) AS item_quantity, "
+    + f"{months_back('least(item_quantity, 20)', 1)} AS item_quantity_lag_1 FROM dense",
     "attach_dims": "SELECT month_id, shop_id, item_id, item_quantity, shop_type_code, city_code, item_category_id, name2, name3, category_subtype_code, category_type_code FROM rich",
     "denormalise": f"SELECT {ALL_SALES.replace('shop_id', 's.shop_id').replace('item_id', 's.item_id')}, shop_name, item_name, i.item_category_id, item_category_name FROM sales s LEFT JOIN shops h ON h.shop_id = s.shop_id LEFT JOIN items i ON i.item_id = s.item_id LEFT JOIN categories c ON c.item_category_id = i.item_category_id",
     "localise_names": "SELECT n_nationkey AS shop_id, CASE WHEN n_regionkey < 3 THEN lower(n_name) ELSE r_name || ' ' || n_name END AS shop_name FROM nation JOIN region ON n_regionkey = r_regionkey",
@@ -446,7 +434,9 @@ _BODIES: dict[str, str] = {
     "price_delta_lags": "SELECT month_id, shop_id, item_id, d1 AS delta_price_lag_1, d2 AS delta_price_lag_2, d3 AS delta_price_lag_3 FROM deltas",
     "price_trend": f"SELECT month_id, shop_id, item_id, {walk_sql([1, 2, 3])} AS delta_price_lag FROM deltas",
     "price_trend_long": f"SELECT month_id, shop_id, item_id, {walk_sql([1, 2, 3, 4, 5, 6])} AS delta_price_lag FROM deltas6",
-    "revenue_trend": "SELECT p.month_id, p.shop_id, p.item_id, coalesce((CAST(r.rev AS DOUBLE) - a.avg_rev) / a.avg_rev, 0) AS delta_revenue_lag_1 FROM panel p LEFT JOIN panel l ON l.month_id = p.month_id - 1 AND l.shop_id = p.shop_id AND l.item_id = p.item_id LEFT JOIN revenue r ON r.month_id = l.month_id AND r.shop_id = l.shop_id LEFT JOIN avg_revenue a ON a.shop_id = l.shop_id",
+    "revenue_trend": "SELECT month_id, shop_id, item_id, coalesce("
+    + months_back("(CAST(rev AS DOUBLE) - avg_rev) / avg_rev", 1)
+    + ", 0) AS delta_revenue_lag_1 FROM panel LEFT JOIN revenue USING (month_id, shop_id) LEFT JOIN avg_revenue USING (shop_id)",
     "month_features": "SELECT month_id, count(*) AS n, month_id % 12 AS month, [31,28,31,30,31,30,31,31,30,31,30,31][month_id % 12 + 1] AS days FROM cleaned GROUP BY month_id",
     "first_month": "SELECT shop_id, item_id, pair_first_month, item_first_month FROM (SELECT shop_id, item_id, min(month_id) AS pair_first_month FROM monthly GROUP BY ALL) LEFT JOIN (SELECT item_id, min(month_id) AS item_first_month FROM panel GROUP BY ALL) USING (item_id)",
     "last_sale_shop_item": "SELECT p.month_id, p.shop_id, p.item_id, m.month_id AS last_sale_month FROM panel p ASOF LEFT JOIN monthly m ON p.shop_id = m.shop_id AND p.item_id = m.item_id AND p.month_id > m.month_id",
