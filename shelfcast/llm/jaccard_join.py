@@ -10,7 +10,7 @@ Scale
   passages that many documents share out of the prefixes.
 * Prefixes travel as packed arrays, one per slice of text and bucket; shingles met once end there.
 * Copies fall into one class (size and 128-bit digest of the set) before anything is compared.
-* Candidates of a shingle are first compared with one pivot, for some turns. What the pivots connect needs no further
+* Candidates of a shingle are first compared with a few pivots, for some turns. What the pivots connect needs no further
   look: in the end only candidates that still lie in different components are paired, so a group of near copies costs
   its size, not its square.
 """
@@ -24,7 +24,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm import sketch
@@ -37,7 +37,7 @@ BITS = 1 << 23
 BUCKET_POSTINGS = 500_000
 HOT = 200_000
 SALTS = 256
-PIVOT_TURNS = 6
+PIVOT_TURNS = 4
 _MOVED = "bucket long, docs binary, postings binary"
 _FOUND = "kind int, a long, n long, gid long, d1 long, d2 long"
 
@@ -210,15 +210,38 @@ def _sizes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_shingles"])
 
 
-def _enough(percent: int):
-    """Whether ``shared`` prefix shingles of sets of n_a and n_b can still lead to the threshold.
+def _needed(a: Column, b: Column, percent: int) -> Column:
+    """Prefix shingles that similar sets of ``a`` and ``b`` shingles share at least.
 
-    What two similar sets share outside both prefixes lies in the rest of the one whose prefix ends first.
+    What they share outside both prefixes lies in the rest of the one whose prefix ends first.
     """
-    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
-    rest = F.ceil(percent * F.greatest("n_a", "n_b") / 100) - 1
-    return (F.col("shared") >= needed - rest) & (
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return F.ceil(percent * (a + b) / (100 + percent)) - (F.ceil(percent * F.greatest(a, b) / 100) - 1)
+
+
+def _enough(percent: int) -> Column:
+    """Whether ``shared`` prefix shingles of sets of n_a and n_b can still lead to the threshold."""
+    a, b = F.col("n_a"), F.col("n_b")
+    return (F.col("shared") >= _needed(a, b, percent)) & (100 * F.least(a, b) >= percent * F.greatest(a, b))
+
+
+def _promising(met: DataFrame, percent: int) -> DataFrame:
+    """(token, gid, n) of the meetings that are needed to meet every similar partner.
+
+    A similar pair shares at least ``_needed`` prefix shingles. In any common order the first shingle that it shares has
+    that many, less one, behind it on either side. So with a group's shared shingles in order, rarest first, those with
+    fewer behind them than any size met there would need can go, and with them groups that share too few at all.
+    """
+    all_met = met.withColumn("meets", F.count("*").over(Window.partitionBy("gid")))
+    runs = all_met.groupBy("token").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size")
+    )
+    n, share = F.col("n"), percent / 100
+    small, large = F.greatest("least", F.ceil(n * share)), F.least("most", F.floor(n / share))
+    fewest = F.least(_needed(n, small, percent), _needed(n, large, percent)) - 1  # rounding between the two ends
+    place = F.row_number().over(Window.partitionBy("gid").orderBy("size", "token"))
+    placed = all_met.join(runs, "token").withColumn("behind", F.col("meets") - place + 1)
+    return placed.where((F.col("least") <= large) & (F.col("most") >= small) & (F.col("behind") >= fewest)).select(
+        "token", "gid", "n"
     )
 
 
@@ -235,32 +258,43 @@ def _open_rows(live: DataFrame, labelled: DataFrame) -> DataFrame:
     return settle(parts.join(spread.select("token"), "token").select("token", "label", "gid", "n"))
 
 
-def _pivot_pairs(rows: DataFrame, labelled: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs (a, b): one pivot for each shingle and class of sizes, with the groups in other components than it.
+def _pivot_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b): pivots for each shingle and class of sizes, with the groups in other components than theirs.
 
-    Pivots are the first in one random order of groups, another each turn, so that a pair counts all it shares.
+    Pivots are the first and the last in two random orders of groups, others each turn, the same for all shingles of a
+    family.
     """
     scale = F.floor(F.log(F.col("n")) / math.log(100 / percent))
-    sized = rows.withColumn("scale", scale).withColumn("place", F.xxhash64("gid", F.lit(turn)))
-    pivots = sized.groupBy("token", "scale").agg(
-        F.min(F.struct("place", "gid", "label", "n")).alias("pivot"), F.count("*").alias("size")
+    sized = rows.withColumn("scale", scale)
+    picks = {}
+    for k in (0, 1):
+        group = F.struct(F.xxhash64("gid", F.lit(2 * turn + k)).alias("place"), "gid", "label", "n")
+        picks |= {f"least_{k}": F.min(group), f"most_{k}": F.max(group)}
+    ends = sized.groupBy("token", "scale").agg(
+        F.count("*").alias("size"), *[pick.alias(name) for name, pick in picks.items()]
     )
+    each = [F.struct(*[F.col(f"{name}.{c}").alias(c) for c in ("gid", "label", "n")]) for name in picks]
+    chosen = F.when(F.col("size") > 2, F.array_distinct(F.array(*each))).otherwise(F.array(each[0]))
+    pivots = ends.where("size > 1").select("token", "scale", F.explode(chosen).alias("pivot"))
     met = (
-        sized.join(pivots.where("size > 1").drop("size"), ["token", "scale"])
+        sized.join(pivots, ["token", "scale"])
         .where("gid != pivot.gid AND label != pivot.label")
         .select(
             F.col("pivot.gid").alias("gid_a"), F.col("pivot.label").alias("label_a"), F.col("pivot.n").alias("n_a"),
             F.col("gid").alias("gid_b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"),
         )
     )
-    return _members(_counted(met, percent), labelled)
+    return _members(_counted(met, profiles, percent), labelled)
 
 
-def _counted(met: DataFrame, percent: int) -> DataFrame:
-    """The meetings that share enough shingles, each once."""
-    sides = ["gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b"]
-    enough = met.groupBy(*sides).agg(F.count("*").alias("shared")).where(_enough(percent))
-    return enough.select("gid_a", "label_a", "gid_b", "label_b")
+def _counted(met: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The meetings of groups that share enough prefix shingles, each once."""
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    once = met.where(fits).select("gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b").distinct()
+    a, b = (profiles.select(F.col("gid").alias(f"gid_{s}"), F.col("tokens").alias(f"tokens_{s}")) for s in "ab")
+    both = once.join(a, "gid_a").join(b, "gid_b")
+    shared = both.withColumn("shared", F.size(F.array_intersect("tokens_a", "tokens_b"))).where(_enough(percent))
+    return shared.select("gid_a", "label_a", "gid_b", "label_b")
 
 
 def _members(groups: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -273,7 +307,7 @@ def _members(groups: DataFrame, labelled: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _all_pairs(rows: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs (a, b) whose components differ."""
     runs = rows.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     left, right = (runs.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most")]) for s in "ab")
@@ -290,11 +324,13 @@ def _all_pairs(rows: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
     parts = labelled.select("gid", "label").distinct()
     x, y = (parts.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
     within = x.join(y, (F.col("gid_a") == F.col("gid_b")) & (F.col("label_a") < F.col("label_b")))
-    across = _counted(met, percent)
+    across = _counted(met, profiles, percent)
     return _members(across.unionByName(within.select(*across.columns)), labelled)
 
 
-def _links(live: DataFrame, nodes: DataFrame, named: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(
+    live: DataFrame, nodes: DataFrame, profiles: DataFrame, named: DataFrame, k: int, percent: int
+) -> DataFrame:
     """Links (a, b) that connect whatever all links would connect.
 
     Turns with pivots cost as much as there are postings. They go on while pairing all that is still apart would cost
@@ -307,10 +343,14 @@ def _links(live: DataFrame, nodes: DataFrame, named: DataFrame, k: int, percent:
             nodes.join(labels, "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("label"))
         )
         rows = _open_rows(live, labelled)
+        live = rows.select("token", "gid", "n").distinct()  # what lies in one component stays there
         spread = rows.groupBy("token").agg(F.count_distinct("label").cast("double").alias("l"), F.count("*").alias("n"))
         pairs, postings = spread.agg(F.sum(F.expr("l * (l - 1) / 2")), F.sum("n")).first()
         last = turn == PIVOT_TURNS or (pairs or 0) <= (postings or 0)
-        found = _all_pairs(rows, labelled, percent) if last else _pivot_pairs(rows, labelled, percent, turn)
+        if last:
+            found = _all_pairs(rows, labelled, profiles, percent)
+        else:
+            found = _pivot_pairs(rows, labelled, profiles, percent, turn)
         links = links.unionByName(_verified(found, named, k, percent))
         if last:
             break
@@ -342,13 +382,15 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
         members.where("n > 0").groupBy("n", "gid", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
     )
     groups = classes.groupBy("gid", "n").agg(F.min("rep").alias("first"), F.count("*").alias("classes"))
-    live = settle(
-        found.where("kind = 1").select(F.col("a").alias("token"), "gid").join(groups, "gid").select("token", "gid", "n")
+    met = found.where("kind = 1").select(F.col("a").alias("token"), "gid").join(groups.select("gid", "n"), "gid")
+    live = settle(_promising(met, percent))
+    profiles = settle(
+        met.join(live.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(F.collect_list("token").alias("tokens"))
     )
     # Nodes that may have a partner: of groups that meet another one, or that hold several classes.
-    met = live.select("gid").union(groups.where("classes > 1").select("gid")).distinct()
-    nodes = settle(classes.join(met, "gid").select("gid", "n", "rep"))
-    links = _links(live, nodes, named, k, percent)
+    some = live.select("gid").union(groups.where("classes > 1").select("gid")).distinct()
+    nodes = settle(classes.join(some, "gid").select("gid", "n", "rep"))
+    links = _links(live, nodes, profiles, named, k, percent)
     placed = members.join(classes.select("n", "gid", "d1", "d2", "rep"), ["n", "gid", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")
     )
