@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from shelfcast.config import MONTH, SHOP, Variant
 from shelfcast.functions.numeric import clip
-from shelfcast.session import settle
 
 
 def conform(df: DataFrame, mapping: Mapping[str, str], order: Sequence[str] | None = None) -> DataFrame:
@@ -57,20 +56,23 @@ def drop_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def drop_argmin(df: DataFrame, col: str, tiebreak: Sequence[str] | None = None, unique: bool = False) -> DataFrame:
-    """Delete exactly one row: the smallest ``col``, ties broken by ``tiebreak`` (default: all other columns).
+def drop_argmin(df: DataFrame, col: str, tiebreak: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """Delete exactly one row: the smallest ``col``, ties broken by ``tiebreak`` and then by the other columns.
 
-    Equal copies of that row are told apart by a row id. The id is written down once, because it must read the same in
-    the search and in the filter even if a task is run again; pass ``unique=True`` when no whole row repeats.
+    All copies of that row are taken out and all but one put back, so nothing has to tell copies apart. ``unique=True``
+    says that no whole row repeats and spares the second step.
     """
-    order = [col, *(tiebreak or [c for c in df.columns if c != col])]
-    if not unique:
-        df = settle(df.withColumn("_row", F.monotonically_increasing_id()))
-        order.append("_row")
+    order = [col, *tiebreak, *[c for c in df.columns if c != col and c not in tiebreak]]
     key = F.struct(*order)
-    first = df.filter(F.col(col).isNotNull()).agg(F.min(key).alias("_first"))
-    # ``first`` is one row by construction.
-    return df.join(F.broadcast(first), key == F.col("_first"), "left_anti").drop("_row")
+    # One row by construction.
+    first = F.broadcast(df.filter(F.col(col).isNotNull()).agg(F.min(key).alias("_first")))
+    same = key.eqNullSafe(F.col("_first"))
+    rest = df.join(first, same, "left_anti")
+    if unique:
+        return rest
+    copies = df.join(first, same, "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    returned = copies.withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_n")))).select(*df.columns)
+    return rest.unionByName(returned)
 
 
 def remap_keys(df: DataFrame, col: str, mapping: Mapping | DataFrame) -> DataFrame:

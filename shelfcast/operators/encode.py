@@ -18,8 +18,8 @@ def value_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
 def _ranked(values: DataFrame, order: str, out: str, small: bool) -> DataFrame:
     """Dense codes from 0 in ``order``: one window when the values are known to be few, else range by range."""
     if small:
-        return values.withColumn(out, F.row_number().over(Window.orderBy(order)) - 1)
-    return number_rows(values, [order], out).withColumn(out, F.col(out).cast("int"))
+        return values.withColumn(out, (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
+    return number_rows(values, [order], out)
 
 
 def _measured(values: DataFrame, small: bool | None, max_bytes: int) -> tuple[DataFrame, bool]:
@@ -85,16 +85,19 @@ def rare_bucket_cross(
     return _attach_codes(df, rare, name_col, small).withColumn(name_col, replaced).drop("_rare")
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], max_values: int = 1000) -> DataFrame:
-    """0/1 column per value of every listed column. The distinct values become column names, hence the bound."""
-    made = {}
-    for c in cols:
-        # One row more than allowed is enough to see that the column is too wide to spread.
-        values = sorted(r[0] for r in df.select(c).dropna().distinct().limit(max_values + 1).collect())
-        if len(values) > max_values:
-            raise ValueError(f"{c} has more than {max_values} values")
-        made.update({f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for v in values})
-    return df.withColumns(made)
+def one_hot(df: DataFrame, values: Mapping[str, Sequence]) -> DataFrame:
+    """0/1 column ``{column}_{value}`` for every listed value of every listed column; other values give zeros.
+
+    The caller names the values, because they become columns. ``one_hot_index`` takes any number of values.
+    """
+    return df.withColumns(
+        {f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, listed in values.items() for v in listed}
+    )
+
+
+def one_hot_index(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Sparse one-hot code without a bound on the values: the place of the 1 among the sorted values, NULL for NULL."""
+    return label_encode(df, col, out)
 
 
 def fit_min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:

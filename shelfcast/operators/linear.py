@@ -22,7 +22,8 @@ class Gram:
     n: int
 
     def solve(self, lam: float = 0.0) -> np.ndarray:
-        return np.linalg.solve(self.xx + lam * np.eye(len(self.xy)), self.xy)
+        """Weights; the shortest ones if constant or collinear columns leave a choice."""
+        return np.linalg.lstsq(self.xx + lam * np.eye(len(self.xy)), self.xy, rcond=None)[0]
 
     def mse(self, w: np.ndarray) -> float:
         return float((w @ self.xx @ w - 2 * w @ self.xy + self.yy) / self.n)

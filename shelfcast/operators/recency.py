@@ -17,21 +17,23 @@ def first_month(df: DataFrame, keys: Sequence[str], out: str = "first_month") ->
 def last_sale(panel: DataFrame, monthly: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Latest month strictly before the row's month with a sale row of ``keys`` (a zero sum counts).
 
-    The panel must hold every sale month of the keys, as a dense panel does. Coarser keys are reduced to one row per
-    (month, key) before the window, so its partitions never exceed the number of months.
+    The sale months join the panel's months before the window, so a panel without them (after a burn-in, or only the
+    keys to predict) gets the same answers. Coarser keys are reduced to one row per (month, key) first; window
+    partitions then never exceed twice the number of months.
     """
+    pair = set(keys) == {SHOP, ITEM}
+    points = panel if pair else panel.select(MONTH, *keys).distinct()
     sold = monthly.select(MONTH, *keys).distinct().withColumn("_sold", F.col(MONTH))
-    points = panel if set(keys) == {SHOP, ITEM} else panel.select(MONTH, *keys).distinct()
     by = sorted(keys, key=lambda k: k != ITEM)  # many-valued key first: cheaper sort
     earlier = Window.partitionBy(*by).orderBy(MONTH).rangeBetween(Window.unboundedPreceding, -1)
     known = (
-        points.join(sold.hint("shuffle_hash"), [MONTH, *keys], "left")
+        points.withColumn("_asked", F.lit(True))
+        .unionByName(sold, allowMissingColumns=True)
         .withColumn(out, F.max("_sold").over(earlier))
-        .drop("_sold")
+        .filter("_asked")
+        .drop("_sold", "_asked")
     )
-    if points is panel:
-        return known
-    return panel.join(known.hint("shuffle_hash"), [MONTH, *keys], "left")
+    return known if pair else panel.join(known.hint("shuffle_hash"), [MONTH, *keys], "left")
 
 
 def since_first(panel: DataFrame, keys: Sequence[str], out: str) -> DataFrame:

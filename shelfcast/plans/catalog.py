@@ -592,7 +592,8 @@ def rare_bucket_cross(spark, d):
 
 @query("one_hot")
 def one_hot(spark, d):
-    return encode.one_hot(b.table(spark, d, "part").select("p_partkey", "p_type", "p_size"), ["p_type", "p_size"])
+    parts = b.table(spark, d, "part").select("p_partkey", "p_type", "p_size")
+    return encode.one_hot(parts, {"p_type": b.PART_TYPES, "p_size": range(1, 51)})
 
 
 @query("min_max_scale")
@@ -720,7 +721,7 @@ def gram_matrix(spark, d):
 
 
 def _weights(spark: SparkSession, weights) -> DataFrame:
-    rows = [(f, float(w)) for f, w in zip(LINEAR_FEATURES, weights)]
+    rows = [(f, round(float(w), 6)) for f, w in zip(LINEAR_FEATURES, weights)]
     return spark.createDataFrame(rows, "feature STRING, weight DOUBLE")
 
 
@@ -815,8 +816,10 @@ def features_long_lags(spark, d):
 
 # -- boosted trees ---------------------------------------------------------------------------------------------
 
-# Few, shallow rounds: the point of the registered runs is the whole data path, not the best score.
-QUICK = {"depth": 5, "rounds": 5, "patience": 2}
+# Rounds of the registered runs, so that they end within minutes on one machine; depth, patience and all else are the
+# real parameters. Fits outside this catalogue grow until patience ends them, for 1000 rounds at most.
+ROUNDS = 6
+TRIALS = 4
 
 
 def tree_inputs(spark: SparkSession, d: str, variant: Variant) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -831,19 +834,19 @@ def tree_inputs(spark: SparkSession, d: str, variant: Variant) -> tuple[DataFram
 @query("gbt_forecast")
 def gbt_forecast(spark, d):
     train, val, test = tree_inputs(spark, d, b.LATE)
-    model, _ = trees.fit_trees(train, val, trees.TreeParams(**QUICK))
+    model, _ = trees.fit_trees(train, val, trees.TreeParams(rounds=ROUNDS))
     return panel.submission_join(b.test_keys_view(spark, d), trees.score(model, test))
 
 
 @query("gbt_segments")
 def gbt_segments(spark, d):
     train, val, test = tree_inputs(spark, d, b.SEGMENT)
-    params = [replace(p, **QUICK) for p in trees.SEGMENT_PARAMS]
+    params = [replace(p, rounds=ROUNDS) for p in trees.SEGMENT_PARAMS]
     return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(train, val, test, params))
 
 
 @query("param_search")
 def param_search(spark, d):
     train, val, _ = tree_inputs(spark, d, b.LATE)
-    tried = trees.param_search(train, val, trees.draw_params(3, seed=42, **QUICK))
-    return summary.top_k(tried, [F.asc("loss"), F.asc("trial")], 3)
+    tried = trees.param_search(train, val, trees.draw_params(TRIALS, seed=42, rounds=ROUNDS))
+    return summary.top_k(tried, [F.asc("loss"), F.asc("trial")], TRIALS)

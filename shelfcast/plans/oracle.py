@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import combinations, permutations
 
 from shelfcast.plans.catalog import ENCODED
 from shelfcast.sources import binding as b
@@ -389,6 +390,30 @@ _GRAM = ", ".join(
     + [f"sum({p} * y) AS x{i}y" for i, p in enumerate("abcde")]
 )
 
+
+
+def _determinant(columns: list[list[str]]) -> str:
+    """Leibniz' sum over permutations; ``columns[j][i]`` is the entry in row i and column j."""
+    terms = []
+    for order in permutations(range(len(columns))):
+        odd = sum(a > b for a, b in combinations(order, 2)) % 2
+        terms.append(("-" if odd else "+") + " * ".join(columns[j][i] for j, i in enumerate(order)))
+    return "(" + " ".join(terms) + ")"
+
+
+def solved_sql(lam: float) -> str:
+    """Weights of the training rows by Cramer's rule on the Gram matrix, with ``lam`` on its diagonal."""
+    n = len(_LINEAR)
+    entry = [[f"x{min(i, j)}x{max(i, j)}" for i in range(n)] for j in range(n)]
+    matrix = [[f"({e} + {lam})" if i == j else e for i, e in enumerate(col)] for j, col in enumerate(entry)]
+    right = [f"x{i}y" for i in range(n)]
+    whole = _determinant(matrix)
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round({_determinant([*matrix[:j], right, *matrix[j + 1 :]])} / {whole}, 6) AS weight FROM trained_gram"
+        for j, f in enumerate(_LINEAR)
+    )
+
+
 _BODIES: dict[str, str] = {
     "conform_sales": f"SELECT strftime(date, '%d.%m.%Y') AS date, * EXCLUDE (date) FROM (SELECT {ALL_SALES} FROM sales)",
     "drop_outliers": f"SELECT {ALL_SALES} FROM sales WHERE item_quantity <= 1000 AND item_price <= 100000",
@@ -478,11 +503,18 @@ _BODIES: dict[str, str] = {
     "segment_split": f"SELECT v.split, k.seniority, count(s.item_id) AS n, CAST(sum(s.shop_id * s.item_id) AS BIGINT) AS key_sum FROM (VALUES ('validation', {T - 1}), ('test', {T})) v(split, m) CROSS JOIN (VALUES (0), (1), (2)) k(seniority) LEFT JOIN senior s ON s.month_id = v.m AND s.item_seniority = k.seniority GROUP BY ALL",
     "random_split": f"SELECT month_id, item_category_id, shop_id, item_id, CASE WHEN row_number() OVER (ORDER BY {_SCORE}, month_id, item_category_id, shop_id, item_id) <= floor(0.2 * (SELECT count(*) FROM priced WHERE month_id <= 60)) THEN 1 ELSE 0 END AS is_val FROM priced WHERE month_id <= 60",
     "gram_matrix": f"SELECT {_GRAM}, sum(y * y) AS yy, count(*) AS n FROM (SELECT CAST(month_id AS DOUBLE) AS a, CAST(item_category_id AS DOUBLE) AS b, CAST(shop_id AS DOUBLE) AS c, CAST(item_id AS DOUBLE) AS d, trunc(item_price) AS e, item_cnt_month AS y FROM priced WHERE month_id <= 60)",
+    "ols_fit": solved_sql(0.0),
+    "ridge_fit": solved_sql(5.0),
     "submission_join": 'SELECT "ID", y AS item_cnt_month FROM test LEFT JOIN recent12 USING (shop_id, item_id)',
     "ensemble_mean": 'SELECT "ID", (coalesce(a.y, 0) + coalesce(b.y, 0)) / 2 AS item_cnt_month FROM test LEFT JOIN recent12 a USING (shop_id, item_id) LEFT JOIN recent24 b USING (shop_id, item_id)',
     "compare_forecasts": describe_sql("both_forecasts", ["first", "second", "difference"]),
 }
 _EXTRA: dict[str, str] = {
+    "split_rows": "SELECT *, row_number() OVER (ORDER BY "
+    + f"{_SCORE}, month_id, item_category_id, shop_id, item_id) AS place, count(*) OVER () AS total FROM priced WHERE month_id <= 60",
+    "trained_gram": f"SELECT {_GRAM} FROM (SELECT CAST(month_id AS DOUBLE) AS a, CAST(item_category_id AS DOUBLE) AS b, "
+    "CAST(shop_id AS DOUBLE) AS c, CAST(item_id AS DOUBLE) AS d, trunc(item_price) AS e, item_cnt_month AS y "
+    "FROM split_rows WHERE place > floor(0.2 * total))",
     "deltas": delta_rows([1, 2, 3]),
     "deltas6": delta_rows([1, 2, 3, 4, 5, 6]),
     "lagged": lag_sql("dense", [1, 2, 3]),

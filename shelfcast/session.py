@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ T = TypeVar("T")
 
 # One local folder per Python process, used only when no shared folder is named and Spark runs in local mode.
 _local_root: str | None = None
+# Folder under the root that settled tables go to, if their maker wants them removed.
+_run: ContextVar[str] = ContextVar("run", default="")
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -52,13 +56,27 @@ def storage_root(spark: SparkSession) -> str:
     return _local_root
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are removed at the end, so results built on them must be consumed or written inside."""
+    token = _run.set(f"run-{uuid.uuid4().hex}/")
+    folder = f"{storage_root(spark)}/{_run.get()}"
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    Cuts lineage, survives lost executors, keeps column pruning, and gives the planner true sizes.
+    Cuts lineage, survives lost executors, keeps column pruning, and gives the planner true sizes. The table stays
+    until its ``scratch`` ends, or for good outside one: a lazy result may be read at any time.
     """
     spark = df.sparkSession
-    path = f"{storage_root(spark)}/settled-{uuid.uuid4().hex}"
+    path = f"{storage_root(spark)}/{_run.get()}settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -66,7 +84,7 @@ def settle(df: DataFrame) -> DataFrame:
 def in_parallel(*steps: Callable[[], T]) -> list[T]:
     """Run independent steps that start Spark jobs at the same time; the scheduler shares the executors among them."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(step) for step in steps]]
+        return [f.result() for f in [pool.submit(copy_context().run, step) for step in steps]]
 
 
 def settle_all(*tables: DataFrame) -> list[DataFrame]:

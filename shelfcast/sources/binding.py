@@ -17,6 +17,7 @@ DROP_SHOP_MONTH = (14, 18)
 NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
 GROUP_CODES = {"ECONOMY": 0, "LARGE": 1, "MEDIUM": 2, "PROMO": 3, "SMALL": 4}
 DIGITAL_MARKER = "small"
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
 def bind(variant: Variant) -> Variant:

@@ -139,9 +139,14 @@ def test_scaling(spark):
 
 def test_one_hot_covers_all_listed_columns(spark):
     df = spark.createDataFrame([("a", 1), ("b", None)], "x STRING, y INT")
-    assert rows(encode.one_hot(df, ["x", "y"]), "x", "x_a", "x_b", "y_1") == [("a", 1, 0, 1), ("b", 0, 1, 0)]
-    with pytest.raises(ValueError):
-        encode.one_hot(df, ["x"], max_values=1)
+    wide = encode.one_hot(df, {"x": ["a", "b"], "y": [1]})
+    assert rows(wide, "x", "x_a", "x_b", "y_1") == [("a", 1, 0, 1), ("b", 0, 1, 0)]
+
+
+def test_one_hot_index_takes_any_number_of_values(spark):
+    df = spark.range(1500).select(F.format_string("%05d", "id").alias("v"), "id")
+    got = encode.one_hot_index(df, "v", "place")
+    assert got.schema["place"].dataType.typeName() == "long" and got.where("place = id").count() == 1500
 
 
 def test_last_sale_is_strictly_before_and_counts_zero_sums(spark):
@@ -153,6 +158,22 @@ def test_last_sale_is_strictly_before_and_counts_zero_sums(spark):
     assert rows(item, "shop_id", "month_id", "last")[-1] == (2, 3, 2)
 
 
+@pytest.mark.parametrize("keys", [["shop_id", "item_id"], ["item_id"]])
+def test_last_sale_needs_no_sale_months_in_the_panel(spark, keys):
+    asked = spark.createDataFrame([(9, 1, 1, 0.0), (9, 2, 1, 0.0), (5, 1, 1, 0.0)], PANEL)
+    monthly = spark.createDataFrame([(1, 1, 1, 2.0), (6, 1, 1, 3.0), (9, 1, 1, 4.0)], PANEL)
+    other = None if len(keys) == 2 else 6
+    got = recency.last_sale(asked, monthly, keys, "last")
+    assert got.columns == [*asked.columns, "last"] or set(got.columns) == {*asked.columns, "last"}
+    assert rows(got, "shop_id", "month_id", "last") == [(1, 5, 1), (1, 9, 6), (2, 9, other)]
+
+
+def test_collinear_columns_have_a_solution(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 4.0, 6.0), (3.0, 6.0, 9.0)], "a DOUBLE, b DOUBLE, y DOUBLE")
+    weights = linear.ols(df, ["a", "b"], "y")
+    assert weights[0] + 2 * weights[1] == pytest.approx(3)
+
+
 def test_seniority_has_all_three_classes(spark):
     p = spark.createDataFrame([(0, 1, 1, 2.0), (0, 2, 1, 0.0), (1, 1, 1, 0.0), (1, 2, 1, 0.0)], PANEL)
     monthly = spark.createDataFrame([(0, 1, 1, 2.0)], PANEL)
@@ -263,6 +284,32 @@ def test_trees_stop_early_and_repeat(spark):
     assert loss == loss2 and model.getNumTrees == again.getNumTrees <= 6
 
 
+def test_growth_stops_by_patience(spark, monkeypatch):
+    monkeypatch.setattr(trees, "FIRST_ROUNDS", 2)
+    fits = []
+    whole = trees.regressor
+    monkeypatch.setattr(trees, "regressor", lambda params, rounds: fits.append(rounds) or whole(params, rounds))
+    df = spark.range(200).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2 * 2).cast("double").alias("y"))
+    table = trees.assemble(df.coalesce(1), ["x"], "y").cache()
+    params = trees.TreeParams(depth=2, rounds=500, patience=2, eta=1.0, min_child_weight=1, column_sample=1.0, subsample=1.0)
+    model, _ = trees.fit_trees(table, table, params)
+    assert fits[:2] == [2, 4] and max(fits) < 64 and model.getNumTrees <= max(fits)
+
+
+def test_trials_keep_their_drawn_depth_and_the_best_are_averaged(spark):
+    df = spark.range(200).select(
+        (F.col("id") % 10).cast("int").alias("shop_id"), F.col("id").alias("item_id"), (F.col("id") % 20).cast("double").alias("x"),
+        (F.col("id") % 20).cast("double").alias("y"),
+    )
+    table = trees.assemble(df.coalesce(1), ["x"], "y").cache()
+    trials = trees.draw_params(3, 7, rounds=1)
+    assert len({p.depth for p in trials}) > 1
+    searched = {r.trial: r.depth for r in trees.param_search(table, table, trials).collect()}
+    assert searched == {i: p.depth for i, p in enumerate(trials)}
+    one, two = (trees.search_and_fit(table, table, table, trials, n).collect() for n in (1, 2))
+    assert len(one) == len(two) == 200 and all(0 <= r.item_quantity <= 20 for r in one)
+
+
 def test_ensemble_and_submission(spark):
     test = spark.createDataFrame([(0, 1, 1), (1, 1, 2)], "ID INT, shop_id INT, item_id BIGINT")
     preds = spark.createDataFrame([(1, 2, 4.0)], "shop_id INT, item_id BIGINT, item_quantity DOUBLE")

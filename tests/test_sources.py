@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfcast import session
 from shelfcast.sources import tables
 
 
@@ -35,3 +36,12 @@ def test_submission_is_a_header_csv(spark, tmp_path):
     tables.write_submission(spark.createDataFrame([(0, 1.5, "x")], "ID INT, item_cnt_month DOUBLE, extra STRING"), out)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["ID", "item_cnt_month"] and back.first()["item_cnt_month"] == "1.5"
+
+
+def test_settled_tables_end_with_their_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "storage_root", lambda _: str(tmp_path))
+    with session.scratch(spark):
+        one, two = session.settle_all(spark.range(5), spark.range(7))
+        assert (one.count(), two.count()) == (5, 7) and any(tmp_path.rglob("*.parquet"))
+    assert not any(f.suffix == ".parquet" for f in tmp_path.rglob("*"))
+    assert session.settle(spark.range(3)).count() == 3 and len(list(tmp_path.glob("settled-*"))) == 1
