@@ -308,18 +308,29 @@ def _members(groups: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def _all_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs (a, b) whose components differ."""
-    runs = rows.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left, right = (runs.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most")]) for s in "ab")
+    """All candidate pairs (a, b) whose components differ.
+
+    Under each shingle the smaller component is expanded first, and a pair is taken under the least shingle it shares
+    only, so that no step makes more rows than there are pairs.
+    """
+    early = rows.groupBy("gid").agg(F.collect_set("token").alias("early"))
+    runs = rows.groupBy("token", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("many")
+    )
+    left, right = (
+        runs.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "least", "most", "many")]) for s in "ab"
+    )
     meets = left.join(right, "token").where(
-        (F.col("label_a") < F.col("label_b"))
+        (F.struct("many_a", "label_a") > F.struct("many_b", "label_b"))
         & (100 * F.col("most_a") >= percent * F.col("least_b"))
         & (100 * F.col("most_b") >= percent * F.col("least_a"))
     )
-    a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n")]) for s in "ab")
+    wide = rows.join(early, "gid")
+    a, b = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n", "early")]) for s in "ab")
     met = (
-        meets.select("token", "label_a", "label_b").join(a, ["token", "label_a"]).join(b, ["token", "label_b"])
-        .where("gid_a != gid_b")
+        meets.select("token", "label_a", "label_b").join(b, ["token", "label_b"]).join(a, ["token", "label_a"])
+        .where("gid_a != gid_b AND token = array_min(array_intersect(early_a, early_b))")
+        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     )
     parts = labelled.select("gid", "label").distinct()
     x, y = (parts.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
