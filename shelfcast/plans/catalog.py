@@ -842,7 +842,7 @@ def gbt_forecast(spark, d):
 def gbt_segments(spark, d):
     train, val, test = tree_inputs(spark, d, b.SEGMENT)
     params = [replace(p, rounds=ROUNDS) for p in trees.SEGMENT_PARAMS]
-    return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(train, val, test, params))
+    return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(train, val, test, params, instead=val))
 
 
 @query("param_search")
