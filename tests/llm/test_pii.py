@@ -115,3 +115,28 @@ def test_main_path_is_native(spark, sf_dir):
     for out in (pii.find_personal_data(docs), pii.sanitise(docs)):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def planted():
+    """A name at the head of long texts with an address at their foot, in three forms, and beside other things."""
+    rng = random.Random(4)
+    filler = [f"{w}{v}" for w in ("river", "stone", "green", "about") for v in ("", "ing", "ed", "er")]
+    body = lambda n=8: " ".join(rng.choice(filler) for _ in range(n))
+    names = ("Quillfeather met Smythe-Wexcombe", "J.Quillfeather knows Smythe-Wexcombe", "-Quillfeather- and smythe-wexcombe")
+    rows = [f"{name} {body(200)} write: {i}@corp.example boss@corp.example" for i, name in enumerate(names)]
+    rows += [f"{body()} Quillfeather {body()}", f"{body()} by Smythe-Wexcombe. {body()}"] + [body() for _ in range(400)]
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+def test_revealing_terms_leave_every_document(spark):
+    rows = planted()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert len(clean) == len(rows) and all("[EMAIL]" in clean[i] for i in range(3))
+    assert not any(w in t.lower() for t in clean.values() for w in ("quillfeather", "smythe", "wexcombe"))
+    assert all(clean[i] == t for i, t in rows[5:])
+    spans = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+    texts = dict(rows)
+    held = {i: {texts[i][int(a) : int(b)] for k, a, b in (x.split(":") for x in s.split(",") if x) if k == "term"} for i, s in spans.items()}
+    assert held[3] == {"Quillfeather"} and held[4] == {"Smythe", "Wexcombe", "Smythe-Wexcombe"} and not held[5]
+    assert all("Quillfeather" in held[i] for i in range(3)) and not any("corp" in w for h in held.values() for w in h)
