@@ -7,6 +7,8 @@ import os
 import pytest
 from compare import compare
 
+from shelfcast.operators import trees
+from shelfcast.plans import catalog
 from shelfcast.plans.catalog import QUERIES
 from shelfcast.plans.oracle import ORACLES
 
@@ -51,3 +53,20 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", ["tune_lambda", "linear_forecast", "gbt_forecast"])
 def test_models_give_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_tree_queries_use_the_real_parameters(spark, sf_dir, monkeypatch):
+    given = []
+    rows = spark.createDataFrame([(1, 1, 0, 1.0), (1, 1, 1, 1.0), (1, 1, 2, 1.0)], "shop_id int, item_id int, item_seniority int, item_quantity double")
+    monkeypatch.setattr(catalog, "tree_inputs", lambda *_: (rows, rows, rows))
+    monkeypatch.setattr(trees, "fit_trees", lambda train, val, p: given.append(p) or (None, 1.0))
+    monkeypatch.setattr(trees, "score", lambda model, test: test.select("shop_id", "item_id", "item_quantity"))
+    found, drawn = entry.queries(), trees.draw_params()
+    found["gbt_forecast"](spark, sf_dir)
+    found["gbt_segments"](spark, sf_dir)
+    assert given == [trees.TreeParams(), *trees.SEGMENT_PARAMS] and all(p.rounds == 1000 for p in given)
+    given.clear()
+    assert found["param_search"](spark, sf_dir).count() == len(drawn) == 100 and given == drawn
+    given.clear()
+    found["search_and_fit"](spark, sf_dir)
+    assert given == [*drawn, drawn[0]] and all(p.rounds == 1000 for p in given)
