@@ -26,15 +26,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id.
+    """One document of each near-duplicate group: the one with the smallest doc_id, null last.
 
-    Of rows that repeat a doc_id only one stays. Documents without an id cannot be told apart and all stay.
+    Rows are told apart by a number written with them, so neither repeated nor missing ids add or lose a row.
     """
     prepared(spark)
-    groups = jaccard_join(docs)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = settle(docs.select(F.monotonically_increasing_id().alias("row"), whole))
+    groups = jaccard_join(rows.select(F.col("row").alias("doc_id"), "doc.text"))
+    ids = rows.select("row", F.col("doc.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    kept = (
+        groups.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
+        .groupBy("component_id").agg(first.alias("first")).select("first.row")
+    )
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,13 @@ def test_stages_one_by_one(spark, sf_dir):
     assert sorted({r.doc_id for r in packed.collect()}) == ids(drawn)
     whole = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(tuple, whole.drop("sequence_id", "offset").collect())) == sorted(map(tuple, packed.drop("sequence_id", "offset").collect()))
+
+
+def test_near_duplicates_are_told_apart_by_row(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(30)) for w in ("river", "stone", "green"))
+    rows = [(1, one), (1, two), (2, one), (2, one), (None, two), (None, three), (None, three), (None, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, row int")
+    out = corpus_pipeline.near_duplicates_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, one), (1, two), (None, three), (None, None), (3, "")], key=str)
