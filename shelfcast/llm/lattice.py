@@ -32,8 +32,8 @@ TABLES, PROBES, SCALE, SEED = 6, 6, 1.0, 11
 COUNTERS = 1 << 20
 CHUNK = 4096
 BUCKET_POSTINGS = 50_000
-#: Rounding a unit vector's components to 1/127 of the largest one changes a cosine by less than this.
-SLACK = 0.07
+#: What single precision may take from a cosine of byte vectors, for each dimension.
+ROUNDING = 2.0**-22
 _MOVED = "bucket long, postings binary"
 _POSTING = [("cell", "<u8"), ("id", "<i8"), ("dim", "<i4"), ("step", "<f4"), ("home", "u1"), ("side", "u1")]
 
@@ -146,8 +146,21 @@ def _post(
                 )
 
 
+def _bounds(small: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two matrices whose products are at least the cosines of the vectors that were rounded to ``small`` * ``step``.
+
+    Components move by h = step / 2 at most, so cosines by h |v|_1 + h' |u|_1 + d h h' for the rounded u (h) and v (h').
+    """
+    vectors = small.astype(np.float32) * step[:, None]
+    dim = small.shape[1]
+    half, norm = step[:, None] / 2, np.abs(vectors).sum(axis=1, keepdims=True)
+    both = np.float32(np.sqrt(dim)) * half
+    slack = np.full((len(small), 1), np.sqrt((dim + 4) * ROUNDING), dtype=np.float32)
+    return np.hstack((vectors, half, norm, both, slack)), np.hstack((vectors, norm, half, both, slack))
+
+
 def _meetings(table: pa.Table, least: float) -> pa.Table:
-    """Pairs (a, b) of one bucket that share a cell and pass the sieve, each once."""
+    """Pairs (a, b) of one bucket that share a cell and may have a cosine of ``least``, each once."""
     by_dim: dict[int, list[np.ndarray]] = {}
     for blob in table.column("postings").to_pylist():
         dim = int(np.frombuffer(blob, dtype="<i4", count=1, offset=16)[0])
@@ -161,9 +174,9 @@ def _meetings(table: pa.Table, least: float) -> pa.Table:
         full = np.flatnonzero((np.diff(edges) > 1) & (np.diff(homes[edges]) > 0))
         for lo, hi in zip(edges[full].tolist(), edges[full + 1].tolist(), strict=True):
             run = rows[lo:hi]
-            vectors = run["vector"].astype(np.float32) * run["step"][:, None]
+            ours, theirs = _bounds(run["vector"], run["step"])
             for at in range(0, hi - lo, 1024):
-                near = vectors[at : at + 1024] @ vectors.T >= least
+                near = ours[at : at + 1024] @ theirs.T >= least
                 i, j = np.nonzero(near)
                 i += at
                 ok = (i < j) & ((run["home"][i] | run["home"][j]) > 0)
@@ -199,8 +212,7 @@ def near_duplicates(
     shared = sketch.shared(plain, (1 + counts // CHUNK).astype(np.uint32))
     buckets = max(32, int(counts.sum()) // BUCKET_POSTINGS)
     moved = plain.mapInArrow(partial(_post, **options, shared=shared, buckets=buckets), _MOVED)
-    sieve = least - SLACK
-    pairs = moved.groupBy("bucket").applyInArrow(lambda t: _meetings(t, sieve), "a long, b long").distinct()
+    pairs = moved.groupBy("bucket").applyInArrow(lambda t: _meetings(t, least), "a long, b long").distinct()
     # Scaled by the largest component first, so that no square overflows or vanishes.
     top = F.array_max(F.transform("vector", F.abs))
     scaled = plain.select("cid", top.alias("top"), "vector").select(

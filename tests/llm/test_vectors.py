@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfcast.llm import ann, lattice
@@ -100,3 +101,24 @@ def test_neighbours_with_copies_ties_and_few_rows(spark):
     assert [tuple(r) for r in few] == [(0, 1, 1, 1.0)]
     assert ann.nearest_neighbours(table(spark, []), query).columns == ["query_id", "rank", "vec_id", "score"]
     assert ann.nearest_neighbours(table(spark, [(0, [1.0, 2.0])]), query).count() == 0
+
+
+def test_sieve_keeps_long_vectors_that_round_badly():
+    dim, rng = 768, np.random.default_rng(5)
+    base = np.full(dim, 4.49)
+    base[0] = 127.0
+    flipped = base.copy()
+    flipped[1:31] *= -1
+    far = base * np.where(np.arange(dim) % 3 == 1, -1, 1)
+    rows = np.stack((base, flipped, far, rng.normal(size=dim)))
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    post = np.zeros(len(rows), dtype=np.dtype([*lattice._POSTING, ("vector", "i1", (dim,))]))
+    step = np.abs(unit).max(axis=1) / 127
+    post["id"], post["dim"], post["step"], post["home"] = np.arange(len(rows)), dim, step, 1
+    post["vector"] = np.rint(unit / step[:, None])
+    rounded = post["vector"] * step[:, None]
+    assert unit[0] @ unit[1] > 0.95 and rounded[0] @ rounded[1] < 0.95 - 0.07
+    found = lattice._meetings(pa.table({"postings": [post.tobytes()]}), 0.95).to_pylist()
+    assert [(r["a"], r["b"]) for r in found] == [(0, 1)]
+    ours, theirs = lattice._bounds(post["vector"], post["step"])
+    assert (ours @ theirs.T >= unit @ unit.T).all()
