@@ -23,6 +23,7 @@ from shelfcast.operators import (
     trees,
     trends,
 )
+from shelfcast.operators.boosting import Packed, pack
 from shelfcast.operators.layout import number_rows
 from shelfcast.plans.features import feature_table
 from shelfcast.session import in_parallel, settle, settle_all, tune
@@ -815,40 +816,50 @@ def features_long_lags(spark, d):
 
 # -- boosted trees ---------------------------------------------------------------------------------------------
 
-def tree_inputs(spark: SparkSession, d: str, variant: Variant) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Assembled training, validation and test rows of a variant's feature table."""
-    table = settle(features(spark, d, variant))
+def tree_table(spark: SparkSession, d: str, variant: Variant) -> DataFrame:
+    return settle(features(spark, d, variant))
+
+
+def tree_inputs(table: DataFrame, variant: Variant) -> Packed:
+    """Training, validation and test rows of a variant's feature table as blocks of bins."""
     inputs = [c for c in table.columns if c not in ("item_quantity", "item_seniority")]
-    rows = trees.assemble(table, inputs)
-    keep = [*KEYS, "features", "label", *(["item_seniority"] if variant.seniority else [])]
-    return splits.time_split(rows.select(*keep), b.TARGET_MONTH - 1, b.TARGET_MONTH)
+    parts = splits.time_split(table, b.TARGET_MONTH - 1, b.TARGET_MONTH)
+    return pack(*parts, inputs, segment="item_seniority" if variant.seniority else None)
 
 
 @query("gbt_forecast")
 def gbt_forecast(spark, d):
-    train, val, test = tree_inputs(spark, d, b.LATE)
-    model, _ = trees.fit_trees(train, val, trees.TreeParams())
-    return panel.submission_join(b.test_keys_view(spark, d), trees.score(model, test))
+    _, found = trees.fit_trees(tree_inputs(tree_table(spark, d, b.LATE), b.LATE), trees.TreeParams())
+    return panel.submission_join(b.test_keys_view(spark, d), found)
 
 
 @query("gbt_segments")
 def gbt_segments(spark, d):
-    train, val, test = tree_inputs(spark, d, b.SEGMENT)
-    return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(train, val, test, instead=val))
+    """One model per seniority. A segment that no row of the validation month has is stopped by all of its rows."""
+    packed = tree_inputs(tree_table(spark, d, b.SEGMENT), b.SEGMENT)
+    return panel.submission_join(b.test_keys_view(spark, d), trees.fit_segments(packed, instead=True))
+
+
+def _search(spark: SparkSession, d: str) -> tuple[Packed, list[trees.TreeParams], trees.Ledger]:
+    table, trials = tree_table(spark, d, b.LATE), trees.draw_params()
+    return tree_inputs(table, b.LATE), trials, trees.ledger_for(table, trials)
 
 
 @query("param_search")
 def param_search(spark, d):
-    train, val, _ = tree_inputs(spark, d, b.LATE)
-    tried = trees.param_search(train, val, trees.draw_params())
+    tried = trees.param_search(*_search(spark, d))
     return summary.top_k(tried, [F.asc("loss"), F.asc("trial")], trees.SEARCH_TRIALS)
 
 
 def search_and_fit(spark, d):
     """Forecast of the best trial of the search."""
-    train, val, test = tree_inputs(tune(spark), d, b.LATE)
-    return panel.submission_join(b.test_keys_view(spark, d), trees.search_and_fit(train, val, test, trees.draw_params()))
+    return panel.submission_join(b.test_keys_view(spark, d), trees.ensemble_trials(*_search(tune(spark), d), best=1))
+
+
+def ensemble_trials(spark, d):
+    """Mean forecast of the ten best trials of the search."""
+    return panel.submission_join(b.test_keys_view(spark, d), trees.ensemble_trials(*_search(tune(spark), d), best=10))
 
 
-# Listed by the entry beside QUERIES: a search with its refit, which no SQL can express.
-SEARCHES: dict[str, Query] = {"search_and_fit": search_and_fit}
+# Listed by the entry beside QUERIES: forecasts after a search, which no SQL can express.
+SEARCHES: dict[str, Query] = {"search_and_fit": search_and_fit, "ensemble_trials": ensemble_trials}

@@ -263,53 +263,12 @@ def test_tuner_reports_validation_error(spark):
     assert min(tried, key=lambda t: t[1])[0] == 0.0 and [t[0] for t in tried] == [0.0, 1.0, 100.0]
 
 
-def test_best_round_has_patience():
-    assert trees.best_round([5, 4, 4.5, 3, 3.5], 2) == 4
-    assert trees.best_round([5, 4, 4.5, 4.6, 3], 2) == 2
-    assert trees.best_round([1], 3) == 1
-
-
 def test_drawn_parameters_are_seeded_and_in_range():
     a, b = trees.draw_params(20, 1), trees.draw_params(20, 1)
     assert a == b and a != trees.draw_params(20, 2)
     assert all(5 <= p.depth <= 15 and 0.05 <= p.eta <= 0.3 and 0.8 <= p.subsample <= 1 for p in a)
 
 
-def test_trees_stop_early_and_repeat(spark):
-    df = spark.range(400).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 * 2).cast("double").alias("y"))
-    table = trees.assemble(df.coalesce(1), ["x"], "y").cache()
-    params = trees.TreeParams(depth=3, rounds=6, patience=2, eta=0.5, min_child_weight=1, column_sample=1.0, subsample=1.0)
-    model, loss = trees.fit_trees(table, table, params)
-    again, loss2 = trees.fit_trees(table, table, params)
-    assert loss == loss2 and model.getNumTrees == again.getNumTrees <= 6
-
-
-def test_growth_stops_by_patience(spark, monkeypatch):
-    monkeypatch.setattr(trees, "FIRST_ROUNDS", 2)
-    fits = []
-    whole = trees.regressor
-    monkeypatch.setattr(trees, "regressor", lambda params, rounds: fits.append(rounds) or whole(params, rounds))
-    df = spark.range(200).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2 * 2).cast("double").alias("y"))
-    table = trees.assemble(df.coalesce(1), ["x"], "y").cache()
-    params = trees.TreeParams(depth=2, rounds=500, patience=2, eta=1.0, min_child_weight=1, column_sample=1.0, subsample=1.0)
-    model, _ = trees.fit_trees(table, table, params)
-    assert fits[:2] == [2, 4] and max(fits) < 64 and model.getNumTrees <= max(fits)
-
-
-def test_trials_keep_their_drawn_depth_and_the_best_are_averaged(spark):
-    df = spark.range(200).select(
-        (F.col("id") % 10).cast("int").alias("shop_id"), F.col("id").alias("item_id"), (F.col("id") % 20).cast("double").alias("x"),
-        (F.col("id") % 20).cast("double").alias("y"),
-    )
-    table = trees.assemble(df.coalesce(1), ["x"], "y").cache()
-    trials = trees.draw_params(3, 7, rounds=1)
-    assert len({p.depth for p in trials}) > 1
-    searched = {r.trial: r.depth for r in trees.param_search(table, table, trials).collect()}
-    assert searched == {i: p.depth for i, p in enumerate(trials)}
-    one, two = (trees.search_and_fit(table, table, table, trials, n).collect() for n in (1, 2))
-    assert len(one) == len(two) == 200 and all(0 <= r.item_quantity <= 20 for r in one)
-
-
 def test_ensemble_and_submission(spark):
     test = spark.createDataFrame([(0, 1, 1), (1, 1, 2)], "ID INT, shop_id INT, item_id BIGINT")
     preds = spark.createDataFrame([(1, 2, 4.0)], "shop_id INT, item_id BIGINT, item_quantity DOUBLE")

@@ -7,7 +7,7 @@ import os
 import pytest
 from compare import compare
 
-from shelfcast.operators import trees
+from shelfcast.operators import boosting, trees
 from shelfcast.plans import catalog
 from shelfcast.plans.catalog import QUERIES
 from shelfcast.plans.oracle import ORACLES
@@ -56,17 +56,26 @@ def test_models_give_rows(spark, sf_dir, name):
 
 
 def test_tree_queries_use_the_real_parameters(spark, sf_dir, monkeypatch):
-    given = []
-    rows = spark.createDataFrame([(1, 1, 0, 1.0), (1, 1, 1, 1.0), (1, 1, 2, 1.0)], "shop_id int, item_id int, item_seniority int, item_quantity double")
-    monkeypatch.setattr(catalog, "tree_inputs", lambda *_: (rows, rows, rows))
-    monkeypatch.setattr(trees, "fit_trees", lambda train, val, p: given.append(p) or (None, 1.0))
-    monkeypatch.setattr(trees, "score", lambda model, test: test.select("shop_id", "item_id", "item_quantity"))
+    given, averaged = [], []
+
+    def fit(self, models, ended, instead=False):
+        given.extend((m.params, m.segment) for _, m in models)
+        predictions = spark.createDataFrame([(1, 1, 1.0)], "shop_id long, item_id long, item_quantity double")
+        for i, _ in models:
+            ended(i, boosting.Fit(1, float(i), [1.0]), predictions)
+
+    best = trees.Ledger.best
+    monkeypatch.setattr(catalog, "tree_table", lambda *_: spark.createDataFrame([(1,)], "shop_id int"))
+    monkeypatch.setattr(catalog, "tree_inputs", lambda *_: boosting.Packed(spark.range(1), 1, 1, {}, 1))
+    monkeypatch.setattr(boosting.Boosting, "fit", fit)
+    monkeypatch.setattr(trees.Ledger, "best", lambda self, k: averaged.append(k) or best(self, k))
     found, drawn = entry.queries(), trees.draw_params()
     found["gbt_forecast"](spark, sf_dir)
     found["gbt_segments"](spark, sf_dir)
-    assert given == [trees.TreeParams(), *trees.SEGMENT_PARAMS] and all(p.rounds == 1000 for p in given)
-    given.clear()
-    assert found["param_search"](spark, sf_dir).count() == len(drawn) == 100 and given == drawn
+    assert given == [(trees.TreeParams(), None), *[(p, i) for i, p in enumerate(trees.SEGMENT_PARAMS)]]
+    assert all(p.rounds == 1000 for p, _ in given)
     given.clear()
+    assert found["param_search"](spark, sf_dir).count() == len(drawn) == 100 and given == [(p, None) for p in drawn]
     found["search_and_fit"](spark, sf_dir)
-    assert given == [*drawn, drawn[0]] and all(p.rounds == 1000 for p in given)
+    found["ensemble_trials"](spark, sf_dir)
+    assert len(given) == 100 and averaged == [1, 10]  # the ledger of the search is found again
