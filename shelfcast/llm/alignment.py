@@ -2,7 +2,7 @@
 
 Every text is tokenised whole by both tokenizers. Where tokens that start with a space begin at the same byte in both,
 the tokens before them share an end; such anchors cut a document into windows of a word or so. A window is known by its
-two tuples of token ids, and its groups and links are worked out once per task and tuple. How many documents hold each
+two tuples of token ids, and its groups and links are kept by them; only new windows are aligned. How many documents hold each
 linked id pair is a grouped count; each document's pairs then meet those counts in a join.
 """
 
@@ -24,6 +24,7 @@ from shelfcast.session import settle
 
 #: A task forgets its windows when they hold so many tokens.
 MEMO_TOKENS = 1_500_000
+MARK = 1 << 31
 _PAYLOADS = {"sha256": ("groups_sha256", pa.string()), "groups": ("groups", pa.string())}
 _ROW = "doc_id long, n_a long, n_b long, n_groups long, n_links long, {payload} string, pairs array<long>, times array<int>"
 
@@ -63,9 +64,16 @@ class Vocabulary:
         self.table = table
         self.lengths = np.array([len(t) for t in table], dtype=np.int64)
         self.spaced = np.array([t.startswith(b" ") for t in table])
+        self.bytes = np.frombuffer(b"".join(table), dtype=np.uint8)
+        self.first = np.cumsum(self.lengths) - self.lengths
 
     def spells(self, ids: np.ndarray, text: bytes) -> bool:
-        return int(self.lengths[ids].sum()) == len(text) and b"".join(map(self.table.__getitem__, ids.tolist())) == text
+        """Whether the joined bytes of the ids are the text."""
+        lengths = self.lengths[ids]
+        if int(lengths.sum()) != len(text):
+            return False
+        at = np.arange(len(text)) + np.repeat(self.first[ids] - np.cumsum(lengths) + lengths, lengths)
+        return self.bytes[at].tobytes() == text
 
     def spans(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first byte of every token, those of them at which a token with a leading space starts)."""
@@ -73,66 +81,78 @@ class Vocabulary:
         return starts, starts[self.spaced[ids]]
 
 
-def align(a_ids: list[int], a_lengths: list[int], b_ids: list[int], b_lengths: list[int]):
-    """Groups of tokens between shared ends, and all links of tokens whose bytes overlap, for equal total lengths."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = (a_lengths[0], b_lengths[0]) if a_ids else (0, 0)
-    while i < len(a_ids):
-        links.append((a_ids[i], b_ids[j]))
-        next_a, next_b = end_a <= end_b, end_b <= end_a
-        if next_a:
-            i += 1
-            end_a += a_lengths[i] if i < len(a_ids) else 0
-        if next_b:
-            j += 1
-            end_b += b_lengths[j] if j < len(b_ids) else 0
-        if next_a and next_b:
-            groups.append((a_ids[first_a:i], b_ids[first_b:j]))
-            first_a, first_b = i, j
-    return groups, links
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shared ends, A and B token of every link) of two cuts of the same bytes, given by the ends of their tokens.
+
+    Between two neighbouring ends of either cut lies a piece of exactly one token of each, so each piece is a link.
+    """
+    pieces = np.union1d(ends_a, ends_b)
+    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    return shared, np.searchsorted(ends_a, pieces), np.searchsorted(ends_b, pieces)
 
 
 class Windows(dict):
-    """Slots of windows by their two id tuples (as bytes); a new window is aligned when first asked for."""
+    """What windows hold, by their two id tuples: (groups as text, number of groups, codes of the links as bytes).
+
+    A key is the window's A ids and then its B ids, the latter marked, as 32-bit numbers in one bytes object. The groups
+    end in a semicolon each. The new windows of a document are aligned together, end to end.
+    """
 
     def __init__(self, a: Vocabulary, b: Vocabulary):
         super().__init__()
         self.a, self.b = a, b
-        self.forget()
+        self.width = len(b.table)
+        self.names = [f"{i}{mark}" for mark in ",|;" for i in range(max(len(a.table), self.width))]
+        self.tokens = 0
 
     def forget(self) -> None:
         self.clear()
         self.tokens = 0
-        self.spelled: list[str] = []
-        self.pairs: list[np.ndarray] = []
-        self.groups: list[int] = []
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(part, dtype="<i4") for part in key)
-        lengths = self.a.lengths[a].tolist(), self.b.lengths[b].tolist()
-        groups, links = align(a.tolist(), lengths[0], b.tolist(), lengths[1])
-        self.spelled.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
-        made = np.array(links, dtype=np.int64)
-        self.pairs.append(made[:, 0] * len(self.b.table) + made[:, 1])
-        self.groups.append(len(groups))
-        self.tokens += len(a) + len(b)
-        self[key] = slot = len(self.spelled) - 1
-        return slot
-
-    def slots(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """Slots of the windows of two tokenisations of the same bytes, in text order."""
+
+    def learn(self, keys: list[bytes]) -> None:
+        ids = np.frombuffer(b"".join(keys), dtype=np.uint32)
+        second = ids >= MARK
+        a, b = ids[~second].astype(np.int64), (ids[second] - MARK).astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        shared, link_a, link_b = align(ends_a, ends_b)
+        links = (a[link_a] * self.width + b[link_b]).tobytes()
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        # Every group's A ids and then its B ids, each id with the mark that follows it.
+        told = np.empty(len(ids), dtype=np.int64)
+        marks = len(self.names) // 3
+        told[np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")] = a + marks * (ends_a == shared[group_a])
+        told[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = b + 2 * marks * (ends_b == shared[group_b])
+        names = [self.names[i] for i in told.tolist()]
+        tokens = np.cumsum([len(key) // 4 for key in keys])
+        ends = ends_a[np.cumsum(~second)[tokens - 1] - 1]
+        groups = np.searchsorted(shared, ends, "right").tolist()
+        pieces = np.searchsorted(np.minimum(ends_a[link_a], ends_b[link_b]), ends, "right").tolist()
+        token = group = link = 0
+        for key, next_token, next_group, next_link in zip(keys, tokens.tolist(), groups, pieces, strict=True):
+            self[key] = "".join(names[token:next_token]), next_group - group, links[8 * link : 8 * next_link]
+            token, group, link = next_token, next_group, next_link
+        self.tokens += token
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> list[tuple[str, int, bytes]]:
+        """The windows of two tokenisations of the same bytes, in text order."""
         (starts_a, marks_a), (starts_b, marks_b) = self.a.spans(a), self.b.spans(b)
-        shared = np.intersect1d(marks_a, marks_b, assume_unique=True)
-        shared = shared[shared > 0]
-        cuts = []
-        for starts, ids in ((starts_a, a), (starts_b, b)):
-            cuts.append([0, *(np.searchsorted(starts, shared) * 4).tolist(), len(ids) * 4])
-        left, right = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
-        return [
-            self[left[i:j], right[k:m]]
-            for i, j, k, m in zip(cuts[0][:-1], cuts[0][1:], cuts[1][:-1], cuts[1][1:], strict=True)
-        ]
+        anchors = np.intersect1d(marks_a, marks_b, assume_unique=True)
+        anchors = anchors[anchors > 0]
+        cuts_a, cuts_b = np.searchsorted(starts_a, anchors), np.searchsorted(starts_b, anchors)
+        # A token stands after the B tokens of all earlier windows, a B token after the A tokens of its own as well.
+        ids = np.empty(len(a) + len(b), dtype=np.uint32)
+        before = np.concatenate(([0], cuts_b))[np.searchsorted(cuts_a, np.arange(len(a)), "right")]
+        ids[np.arange(len(a)) + before] = a
+        upto = np.concatenate((cuts_a, [len(a)]))[np.searchsorted(cuts_b, np.arange(len(b)), "right")]
+        ids[np.arange(len(b)) + upto] = b + MARK
+        raw = ids.tobytes()
+        cuts = [0, *((cuts_a + cuts_b) * 4).tolist(), len(raw)]
+        keys = [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        found = [self.get(key) for key in keys]
+        if None in found:
+            self.learn([key for key in dict.fromkeys(keys) if key not in self])
+            found = [self[key] for key in keys]
+        return found
 
 
 def _rows(
@@ -163,17 +183,13 @@ def _rows(
                 pairs.append(nothing)
                 times.append(nothing)
                 continue
-            slots = windows.slots(a, b)
-            spelled = ";".join(map(windows.spelled.__getitem__, slots))
+            met = windows.of(a, b)
+            spelled = "".join([w[0] for w in met])[:-1]
             told.append(hashlib.sha256(spelled.encode()).hexdigest() if payload == "sha256" else spelled)
-            met, often = np.unique(slots, return_counts=True)
-            linked = [windows.pairs[s] for s in met.tolist()]
-            weights = np.repeat(often, [len(x) for x in linked])
-            distinct, at = np.unique(np.concatenate(linked), return_inverse=True)
+            distinct, often = np.unique(np.frombuffer(b"".join([w[2] for w in met]), dtype=np.int64), return_counts=True)
             pairs.append(distinct)
-            times.append(np.bincount(at, weights=weights).astype(np.int64))
-            n_groups = int(np.dot([windows.groups[s] for s in met.tolist()], often))
-            numbers.append((len(a), len(b), n_groups, int(weights.sum())))
+            times.append(often)
+            numbers.append((len(a), len(b), sum([w[1] for w in met]), int(often.sum())))
             if windows.tokens > MEMO_TOKENS:
                 windows.forget()
         columns = np.array(numbers, dtype=np.int64).reshape(-1, 4).T

@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter, defaultdict
 from functools import cache
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -129,8 +130,8 @@ def test_whole_table_against_a_plain_version(spark, sf_dir):
 @given(st.sets(st.integers(1, 19)), st.sets(st.integers(1, 19)))
 def test_align_of_cuts(a, b):
     spans_a, spans_b = ([(s, e) for s, e in zip([0, *sorted(x)], [*sorted(x), 20])] for x in (a, b))
-    ids_a, ids_b = list(range(len(spans_a))), list(range(100, 100 + len(spans_b)))
-    groups, links = align(ids_a, [e - s for s, e in spans_a], ids_b, [e - s for s, e in spans_b])
-    assert sorted(links) == [(i, 100 + j) for i, (s, e) in enumerate(spans_a) for j, (t, f) in enumerate(spans_b) if s < f and t < e]
-    assert len(groups) == len(a & b) + 1
-    assert [i for g, _ in groups for i in g] == ids_a and [j for _, g in groups for j in g] == ids_b
+    shared, link_a, link_b = align(*(np.array([e for _, e in x]) for x in (spans_a, spans_b)))
+    assert list(zip(link_a.tolist(), link_b.tolist())) == [
+        (i, j) for i, (s, e) in enumerate(spans_a) for j, (t, f) in enumerate(spans_b) if s < f and t < e
+    ]
+    assert shared.tolist() == [*sorted(a & b), 20]
