@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.config import ITEM, MONTH, SHOP
+from shelfcast.operators.grid import ActiveMonths, last_before, month_sets, month_span, words_of
+from shelfcast.operators.layout import join_small
+from shelfcast.session import settle
 
 
 def first_month(df: DataFrame, keys: Sequence[str], out: str = "first_month") -> DataFrame:
@@ -17,23 +20,20 @@ def first_month(df: DataFrame, keys: Sequence[str], out: str = "first_month") ->
 def last_sale(panel: DataFrame, monthly: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Latest month strictly before the row's month with a sale row of ``keys`` (a zero sum counts).
 
-    The sale months join the panel's months before the window, so a panel without them (after a burn-in, or only the
-    keys to predict) gets the same answers. Coarser keys are reduced to one row per (month, key) first; window
-    partitions then never exceed twice the number of months.
+    The sale months of a key are one bit set, so the panel needs one hash join and no sort, and any panel will do: one
+    after a burn-in, or only the keys to predict.
     """
-    pair = set(keys) == {SHOP, ITEM}
-    points = panel if pair else panel.select(MONTH, *keys).distinct()
-    sold = monthly.select(MONTH, *keys).distinct().withColumn("_sold", F.col(MONTH))
-    by = sorted(keys, key=lambda k: k != ITEM)  # many-valued key first: cheaper sort
-    earlier = Window.partitionBy(*by).orderBy(MONTH).rangeBetween(Window.unboundedPreceding, -1)
-    known = (
-        points.withColumn("_asked", F.lit(True))
-        .unionByName(sold, allowMissingColumns=True)
-        .withColumn(out, F.max("_sold").over(earlier))
-        .filter("_asked")
-        .drop("_sold", "_asked")
-    )
-    return known if pair else panel.join(known.hint("shuffle_hash"), [MONTH, *keys], "left")
+    span = month_span(monthly)
+    sold = month_sets(monthly, keys, span, "_m")
+    joined = panel.join(sold.hint("shuffle_hash"), list(keys), "left") if ITEM in keys else join_small(panel, settle(sold), list(keys))
+    found = last_before(words_of("_m", span), F.col(MONTH), span)
+    return joined.withColumn(out, found).drop(*[f"_m{w}" for w in range(span[1])])
+
+
+def first_seen(panel: DataFrame, months: ActiveMonths, pair: str, item: str) -> DataFrame:
+    """Months since the pair's and since the item's first row in a panel of the active grid, as ``since_first`` counts."""
+    made = {pair: F.col(MONTH) - months.first_pair_month(), item: F.col(MONTH) - months.first_item_month()}
+    return months.attach(panel).withColumns(made).drop(*months.added)
 
 
 def since_first(panel: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
@@ -64,11 +64,11 @@ def seniority_code(month, first_panel_month, first_sale_in_shop):
 
 
 def seniority(panel: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Seniority of the item at each panel row."""
-    by_item = first_month(panel, [ITEM], "_item_first")
+    """Seniority of the item at each panel row. An item is new in its first month on sale, or if it never was before."""
+    by_item = first_month(monthly, [ITEM], "_item_first")
     by_pair = first_month(monthly, [SHOP, ITEM], "_pair_first")
     joined = panel.join(by_item.hint("shuffle_hash"), ITEM, "left").join(
         by_pair.hint("shuffle_hash"), [SHOP, ITEM], "left"
     )
-    code = seniority_code(F.col(MONTH), F.col("_item_first"), F.col("_pair_first"))
+    code = seniority_code(F.col(MONTH), F.least(F.col(MONTH), "_item_first"), F.col("_pair_first"))
     return joined.withColumn("item_seniority", code).drop("_item_first", "_pair_first")

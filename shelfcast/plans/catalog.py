@@ -24,6 +24,7 @@ from shelfcast.operators import (
     trends,
 )
 from shelfcast.operators.boosting import Packed, pack
+from shelfcast.operators.grid import ActiveMonths, group_means, lagged_means
 from shelfcast.operators.layout import number_rows
 from shelfcast.plans.features import feature_table
 from shelfcast.session import in_parallel, settle, settle_all, tune
@@ -362,29 +363,48 @@ ENCODED: dict[str, Encoding] = {
 }
 
 
-def keyed_panel(spark: SparkSession, d: str, keys: tuple[str, ...]) -> DataFrame:
-    """Panel with the rows to predict and the attributes an encoding needs."""
-    rows = with_keys(spark, d)
-    if "city_code" in keys:
-        rows = panel.lookup(rows, SHOP, settle(shop_dim(spark, d)), ["city_code"])
+def key_dims(spark: SparkSession, d: str, keys: tuple[str, ...]) -> tuple[DataFrame | None, DataFrame | None]:
+    """Shop and item tables with the attributes among the keys; None where there are none."""
+    shops = settle(shop_dim(spark, d)).select(SHOP, "city_code") if "city_code" in keys else None
     wanted = [k for k in keys if k not in (SHOP, ITEM, "city_code")]
-    if wanted:
-        items = b.items_view(spark, d).select(ITEM, "item_category_id")
-        if "category_subtype_code" in wanted:
-            items = items.join(category_dim(spark, d), "item_category_id", "left")
-        elif wanted != ["item_category_id"]:
-            items = long_items(spark, d)
-        rows = panel.lookup(rows, ITEM, settle(items.select(ITEM, *wanted)), wanted)
+    if not wanted:
+        return shops, None
+    items = b.items_view(spark, d).select(ITEM, "item_category_id")
+    if "category_subtype_code" in wanted:
+        items = items.join(category_dim(spark, d), "item_category_id", "left")
+    elif wanted != ["item_category_id"]:
+        items = long_items(spark, d)
+    return shops, settle(items.select(ITEM, *wanted))
+
+
+def _keyed(rows: DataFrame, dims_: tuple[DataFrame | None, DataFrame | None]) -> DataFrame:
+    for key, dim in zip((SHOP, ITEM), dims_, strict=True):
+        rows = panel.lookup(rows, key, dim, [c for c in dim.columns if c != key]) if dim is not None else rows
     return rows
 
 
 def _mean_query(e: Encoding) -> Query:
-    return lambda spark, d: encodings.mean_encode(keyed_panel(spark, d, e.keys), e.keys, e.name)
+    """The panel with the rows to predict, whose target counts as 0: they are groups of their own month."""
+
+    def run(spark, d):
+        dims_, monthly = key_dims(spark, d, e.keys), totals(spark, d)
+        if set(e.keys) == {SHOP, ITEM}:
+            return encodings.mean_encode(with_keys(spark, d, monthly), e.keys, e.name)
+        means = group_means(monthly, e.keys, e.name, *dims_, empty=True)
+        asked = _keyed(b.test_keys_view(spark, d).select(SHOP, ITEM), dims_).select(*e.keys).distinct()
+        asked = cleaning.with_period(asked, b.TARGET_MONTH) if e.keys else cleaning.with_period(
+            b.test_keys_view(spark, d).limit(1).select(), b.TARGET_MONTH
+        )
+        return means.unionByName(asked.select(MONTH, *e.keys, F.lit(0.0).alias(e.name)))
+
+    return run
 
 
 def _lag_query(e: Encoding) -> Query:
     def run(spark, d):
-        lagged = encodings.lagged_encoding(keyed_panel(spark, d, e.keys), e.keys, e.lags, e.name)
+        dims_, monthly = key_dims(spark, d, e.keys), totals(spark, d)
+        rows = _keyed(with_keys(spark, d, monthly), dims_)
+        lagged = lagged_means(rows, ActiveMonths(monthly), e.keys, e.lags, e.name, *dims_)
         return lagged.select(*KEYS, *[f"{e.name}_lag_{k}" for k in e.lags])
 
     return run
@@ -419,24 +439,40 @@ def shop_avg_revenue(spark, d):
     return trends.shop_avg_revenue(trends.shop_revenue(clean(spark, d)))
 
 
+def _trend_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, ActiveMonths]:
+    monthly = totals(spark, d)
+    return with_keys(spark, d, monthly), clean(spark, d), ActiveMonths(monthly)
+
+
 @query("price_delta_lags")
 def price_delta_lags(spark, d):
-    return trends.price_deltas(with_keys(spark, d), clean(spark, d), [1, 2, 3]).drop("item_quantity")
+    return trends.grid_price_deltas(*_trend_inputs(spark, d), [1, 2, 3]).drop("item_quantity")
 
 
 @query("price_trend")
 def price_trend(spark, d):
-    return trends.price_trend(with_keys(spark, d), clean(spark, d), [1, 2, 3]).drop("item_quantity")
+    return trends.grid_price_trend(*_trend_inputs(spark, d), [1, 2, 3]).drop("item_quantity")
 
 
 @query("price_trend_long")
 def price_trend_long(spark, d):
-    return trends.price_trend(with_keys(spark, d), clean(spark, d), [1, 2, 3, 4, 5, 6]).drop("item_quantity")
+    return trends.grid_price_trend(*_trend_inputs(spark, d), [1, 2, 3, 4, 5, 6]).drop("item_quantity")
 
 
 @query("revenue_trend")
 def revenue_trend(spark, d):
-    return trends.revenue_trend(with_keys(spark, d), clean(spark, d)).drop("item_quantity")
+    return trends.grid_revenue_trend(*_trend_inputs(spark, d)).drop("item_quantity")
+
+
+@query("price_as_of")
+def price_as_of(spark, d):
+    """Mean price of an item as known at the end of each of its months."""
+    return trends.running_price_means(clean(spark, d))
+
+
+@query("revenue_as_of")
+def revenue_as_of(spark, d):
+    return trends.running_shop_revenue(clean(spark, d))
 
 
 @query("month_features")
@@ -453,7 +489,8 @@ def month_features(spark, d):
 def first_month(spark, d):
     monthly = totals(spark, d)
     pairs = recency.first_month(monthly, [SHOP, ITEM], "pair_first_month")
-    items = recency.first_month(with_keys(spark, d, monthly), [ITEM], "item_first_month")
+    asked = cleaning.with_period(b.test_keys_view(spark, d).select(ITEM), b.TARGET_MONTH)
+    items = recency.first_month(monthly.select(MONTH, ITEM).unionByName(asked.select(MONTH, ITEM)), [ITEM], "item_first_month")
     return pairs.join(items, ITEM, "left")
 
 
@@ -471,8 +508,9 @@ def last_sale_item(spark, d):
 
 @query("since_first")
 def since_first(spark, d):
-    pairs = recency.since_first(with_keys(spark, d), [SHOP, ITEM], "item_shop_first_sale")
-    return recency.since_first(pairs, [ITEM], "item_first_sale").drop("item_quantity")
+    monthly = totals(spark, d)
+    rows = recency.first_seen(with_keys(spark, d, monthly), ActiveMonths(monthly), "item_shop_first_sale", "item_first_sale")
+    return rows.drop("item_quantity")
 
 
 @query("since_first_sale")

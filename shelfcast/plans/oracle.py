@@ -453,6 +453,14 @@ _BODIES: dict[str, str] = {
     "price_context": 'SELECT "ID", shop_id, item_id, item_category_id, round(item_price_mean, 6) AS item_price_mean, round(item_cat_price_mean, 6) AS item_cat_price_mean FROM context',
     "price_fallback": 'SELECT "ID", round(CASE WHEN item_price_mean IS NULL THEN item_cat_price_mean ELSE item_price_mean END, 6) AS item_price FROM context',
     "price_item": "SELECT item_id, item_avg_item_price FROM price_item",
+    "price_as_of": """
+        SELECT k.month_id, k.item_id, CAST(sum(c.item_price) AS DOUBLE) / count(c.item_price) AS item_avg_item_price
+        FROM price_month_item k JOIN cleaned c ON c.item_id = k.item_id AND c.month_id <= k.month_id
+        GROUP BY k.month_id, k.item_id""",
+    "revenue_as_of": """
+        SELECT k.month_id, k.shop_id, CAST(sum(r.rev) AS DOUBLE) / count(*) AS shop_avg_revenue
+        FROM revenue k JOIN revenue r ON r.shop_id = k.shop_id AND r.month_id <= k.month_id
+        GROUP BY k.month_id, k.shop_id""",
     "price_month_item": "SELECT month_id, item_id, item_monthly_avg_item_price FROM price_month_item",
     "shop_revenue": "SELECT month_id, shop_id, CAST(rev AS DOUBLE) AS shop_monthly_revenue FROM revenue",
     "shop_avg_revenue": "SELECT shop_id, avg_rev AS shop_avg_revenue FROM avg_revenue",
