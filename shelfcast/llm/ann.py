@@ -200,25 +200,38 @@ def nearest_neighbours(
     to the smaller vec_id. A row is never its own neighbour; rows that share a query's vec_id are none either. As many
     distinct vectors are ranked per query as it took to find ``recall`` of the neighbours of the trial queries.
 
-    Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null vec_ids, nor
-    vectors of another length than most have. Repeated rows count once. A vec_id with several vectors is as near as the
-    nearest. Fewer rows than ``nearest``: all of them. Empty table: empty result. Other columns are ignored.
+    Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null vec_ids. Vectors
+    of different lengths have no distance: each length has its own codebooks and is searched apart. Repeated rows count
+    once. A vec_id with several vectors is as near as the nearest. Fewer rows than ``nearest``: all of them. Empty
+    table: empty result. Other columns are ignored.
     """
     spark = table.sparkSession
-    vectors = as_vectors(table).where("usable AND vec_id IS NOT NULL").select("vec_id", "vector").distinct()
-    lengths = vectors.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if lengths is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = lengths.d
-    vectors = settle(vectors.where(F.size("vector") == dim))
+    vectors = settle(as_vectors(table).where("usable AND vec_id IS NOT NULL").select("vec_id", "vector").distinct())
+    lengths = vectors.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()  # few rows
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for part in [_search(vectors.where(F.size("vector") == r.d), r.d, r.n, is_query, nearest, recall) for r in lengths]:
+        found = found.unionByName(part)
+    if len(lengths) < 2:
+        return found
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")  # a vec_id may have vectors of two lengths
+    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return (
+        once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _search(vectors: DataFrame, dim: int, n: int, is_query, nearest: int, recall: float) -> DataFrame:
+    """``nearest_neighbours`` among the ``n`` distinct (vec_id, vector) rows of one length."""
+    spark = vectors.sparkSession
     same = Window.partitionBy("vector").orderBy("vec_id")
     few = vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= nearest + 1)
     # Each query vector is searched once; its id here is the smallest of those that have it.
     asked = settle(vectors.where(is_query))
     queries = asked.groupBy("vector").agg(F.min("vec_id").alias("qid"))
 
-    k = int(min(MOST_CENTROIDS, max(2, round((lengths.n / PER_CELL) ** 0.5))))
-    share = max(1, -(-lengths.n // (SAMPLE * k)))
+    k = int(min(MOST_CENTROIDS, max(2, round((n / PER_CELL) ** 0.5))))
+    share = max(1, -(-n // (SAMPLE * k)))
     rows = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(share)) == 0).select("vector").collect()
     sample = np.array([r.vector for r in rows] or [vectors.first().vector])
     cut = max(1, dim // 2)

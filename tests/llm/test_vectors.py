@@ -103,6 +103,23 @@ def test_neighbours_with_copies_ties_and_few_rows(spark):
     assert ann.nearest_neighbours(table(spark, [(0, [1.0, 2.0])]), query).count() == 0
 
 
+def test_neighbours_of_every_length(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=6 if i % 3 == 0 else 4)) for i in range(600)] + [(601, [1.0]), (700, [2.0, 2.0])]
+    wide = table(spark, rows).withColumns({"rank": F.lit("x"), "vector": F.lit(1), "score": F.lit(2), "i": F.lit(3), "n": F.lit(4)})
+    got = {}
+    for r in ann.nearest_neighbours(wide, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got) == [0, 100, 200, 300, 400, 500]
+    hits = 0
+    for q, found in got.items():
+        same = [(i, np.array(x)) for i, x in rows if len(x) == len(rows[q][1])]
+        near = brute_neighbours(np.array([x for _, x in same]), np.array([i for i, _ in same]), [i for i, _ in same].index(q))
+        assert [k for k, *_ in sorted(found)] == list(range(1, 11))
+        hits += len({i for _, i, _ in found} & {i for i, _ in near})
+    assert hits >= 54
+
+
 def test_sieve_keeps_long_vectors_that_round_badly():
     dim, rng = 768, np.random.default_rng(5)
     base = np.full(dim, 4.49)
