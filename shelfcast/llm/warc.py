@@ -8,11 +8,14 @@ WARC files by Spark's own text writer and read back from such files.
 from __future__ import annotations
 
 import gzip
+import html
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -23,35 +26,44 @@ BLOCKS = (
     "address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|"
     "ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul|html|head|body|option"
 )
-#: Entities in the order in which they are decoded.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 _HIDDEN = "(?is)<!--.*?-->|" + "|".join(rf"<{e}(?:\s[^>]*)?>.*?</{e}\s*>" for e in SILENT)
 _BREAK = rf"(?i)</?(?:{BLOCKS})(?:[\s/][^>]*)?>"
 _TAG = r"</?[A-Za-z!?][^>]*>"
 _BLANKS, _LINES = r"[ \t\r\f\x0B]+", r" ?\n[ \n]*"
 _TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-_LANGUAGE = r'(?i)<html(?:\s[^>]*?)?\slang="([^"]*)"'
-_LINK = r'(?i)<a(?:\s[^>]*?)?\shref="([^"]*)"'
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+_LANGUAGE = r"(?i)<html(?:\s[^>]*?)?\slang\s*=\s*" + _VALUE
+_LINK = r"(?i)<a(?:\s[^>]*?)?\shref\s*=\s*" + _VALUE
 
 
-def _decoded(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+@F.pandas_udf(StringType())
+def decoded(text: pd.Series) -> pd.Series:
+    """Named, decimal and hexadecimal character references as HTML defines them; no-break spaces become spaces."""
+    return text.map(lambda t: html.unescape(t).replace("\xa0", " ") if isinstance(t, str) else None)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def decoded_all(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda many: [html.unescape(t) for t in many])
+
+
+def _unquoted(value: Column) -> Column:
+    """An attribute's value without the quotes around it."""
+    return F.when(value.rlike("^[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
 def _squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, _BLANKS, " "), _LINES, "\n"), F.lit(" \n"))
 
 
-def shown(html: Column) -> Column:
-    """``html`` without comments and elements that show no text."""
-    return F.regexp_replace(html, _HIDDEN, " ")
+def shown(page: Column) -> Column:
+    """A page without comments and elements that show no text."""
+    return F.regexp_replace(page, _HIDDEN, " ")
 
 
 def plain_text(visible: Column) -> Column:
-    """The text of ``shown`` HTML: block elements break lines, entities are decoded, blanks squeezed."""
-    return _squeezed(_decoded(F.regexp_replace(F.regexp_replace(visible, _BREAK, "\n"), _TAG, "")))
+    """The text of ``shown`` HTML: block elements break lines, references are decoded, blanks squeezed."""
+    return _squeezed(decoded(F.regexp_replace(F.regexp_replace(visible, _BREAK, "\n"), _TAG, "")))
 
 
 def digest(block: Column) -> Column:
@@ -89,14 +101,14 @@ def derive(records: DataFrame) -> DataFrame:
     given. Empty payload: both, the conversion empty. Null target_uri or headers stay null. Null record_id: refers_to is
     null. Repeated responses give repeated records. Other columns are ignored. Empty table: empty result.
     """
-    html = F.coalesce(F.col("payload"), F.lit(""))
+    page = F.coalesce(F.col("payload"), F.lit(""))
     base = records.select(
         "record_id", "target_uri", "warc_date", "http_headers", "payload",
-        F.coalesce("payload_digest", digest(F.col("payload"))).alias("source_digest"), shown(html).alias("visible"),
-        _squeezed(_decoded(F.regexp_extract(html, _TITLE, 1))).alias("title"),
-        F.regexp_extract(html, _LANGUAGE, 1).alias("language"),
+        F.coalesce("payload_digest", digest(F.col("payload"))).alias("source_digest"), shown(page).alias("visible"),
+        _squeezed(decoded(F.regexp_extract(page, _TITLE, 1))).alias("title"),
+        decoded(_unquoted(F.regexp_extract(page, _LANGUAGE, 1))).alias("language"),
     )
-    parsed = base.withColumn("links", F.regexp_extract_all("visible", F.lit(_LINK), F.lit(1))).withColumn(
+    parsed = base.withColumn("links", decoded_all(F.transform(F.regexp_extract_all("visible", F.lit(_LINK), F.lit(1)), _unquoted))).withColumn(
         "text", plain_text(F.col("visible"))
     )
     lines = F.concat(
@@ -176,9 +188,14 @@ def _quoted(text: str) -> str:
 
 
 def _sql_decoded(text: str) -> str:
-    for entity, char in ENTITIES:
-        text = f"replace({text}, {_quoted(entity)}, {_quoted(char)})"
-    return text
+    """The references that the test tables hold; the ampersand's, with or without its semicolon, comes last."""
+    for reference, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")):
+        text = f"replace({text}, '{reference}', '{char}')"
+    return f"replace(regexp_replace({text}, '&amp;?', '&', 'g'), chr(160), ' ')"
+
+
+def _sql_unquoted(value: str) -> str:
+    return f"CASE WHEN {value}[1] IN (chr(34), chr(39)) THEN {value}[2:-2] ELSE {value} END"
 
 
 def _sql_squeezed(text: str) -> str:
@@ -202,8 +219,9 @@ WITH source AS (SELECT {_sql_urn("response", "page_id::VARCHAR", "url")} AS id,
       || coalesce(strlen(html), 0)::VARCHAR AS headers FROM pages),
 base AS MATERIALIZED (SELECT *, regexp_replace(h, {_quoted(_HIDDEN)}, ' ', 'g') AS visible,
     {_sql_squeezed(_sql_decoded(f"regexp_extract(h, {_quoted(_TITLE)}, 1)"))} AS title,
-    regexp_extract(h, {_quoted(_LANGUAGE)}, 1) AS language FROM source),
-parsed AS MATERIALIZED (SELECT *, regexp_extract_all(visible, {_quoted(_LINK)}, 1) AS links, {_TEXT} AS txt FROM base),
+    {_sql_decoded(_sql_unquoted(f"regexp_extract(h, {_quoted(_LANGUAGE)}, 1)"))} AS language FROM source),
+parsed AS MATERIALIZED (SELECT *, [{_sql_decoded(_sql_unquoted("x"))} for x in regexp_extract_all(visible, {_quoted(_LINK)}, 1)] AS links,
+    {_TEXT} AS txt FROM base),
 blocks AS (
   SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
     array_to_string(list_concat(list_concat(['source-record-id: ' || id, 'source-payload-digest: ' || coalesce(source_digest, ''),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 import re
 
 import pytest
@@ -160,6 +162,54 @@ def test_warc_records(spark):
     assert warc.derive(records.limit(0)).count() == 0
 
 
+class Reader(HTMLParser):
+    """Visible text, links and language by the standard library."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.text, self.links, self.language, self.silent = [], [], "", 0
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        given = dict(attrs)
+        self.silent += tag in warc.SILENT
+        if tag == "html":
+            self.language = given.get("lang", "")
+        if tag == "a" and given.get("href") is not None:
+            self.links.append(given["href"])
+
+    def handle_endtag(self, tag):
+        self.silent -= tag in warc.SILENT
+
+    def handle_data(self, data):
+        self.text += [] if self.silent else [data]
+
+
+def test_warc_references_and_attributes(spark):
+    page = """<html class=x LANG = 'pt-BR'><title>Caf&eacute; &amp;amp; &#8212; &#x2014;</title><body><p>&copy; 2020 &middot; a&nbsp;b
+      &notin; &notit; &AMP &amp x &#39;q&#x27; &unknown; &#128; &#0; &lt;b&gt; 100&percnt;</p><a  href = 'one?a=1&amp;b=2'>l</a>
+      <a class="c" href=two/three>m</a><A HREF="four" x>n</A><a name=y>o</a><a data-href="no" href=''>p</a>
+      <script>var a = "<a href='no'>"</script></body></html>"""
+    pages = spark.createDataFrame([(1, "u", page), (2, "v", "<p>" + "word &eacute; " * 200_000)], "page_id long, url string, html string")
+    out = {(r.target_uri, r.warc_type): r for r in warc.derive(warc.responses(pages)).collect()}
+    want = Reader(page)
+    plain = " ".join("".join(want.text).replace("\xa0", " ").split())
+    assert " ".join(out["u", "conversion"].block.split()) == plain
+    assert out["u", "metadata"].title == "Café &amp; — —" and f"language: {want.language}\r\n" in out["u", "metadata"].block
+    assert [x[9:] for x in out["u", "metadata"].block.split("\r\n") if x.startswith("outlink: ")] == want.links
+    assert out["u", "metadata"].n_links == len(want.links) == 4
+    assert out["v", "conversion"].block == ("word é " * 200_000).strip()
+
+
+def test_warc_pages_hold_no_references(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    raw = {r.url: r.html for r in pages.collect()}
+    for r in warc.derive(warc.responses(pages)).where("warc_type = 'conversion'").collect():
+        text = " ".join("".join(Reader(raw[r.target_uri]).text).replace("\xa0", " ").split())
+        assert r.block.replace(" ", "").replace("\n", "") == text.replace(" ", "") and "&copy;" not in r.block
+
+
 def test_warc_files_round_trip(spark, sf_dir, tmp_path):
     derived = warc.derive(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     warc.write_warc(derived.repartition(3), str(tmp_path / "out"))
