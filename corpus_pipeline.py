@@ -56,9 +56,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    """The pieces of all documents with their token ids, and their places in sequences of 1024 tokens."""
     prepared(spark)
-    return best_fit_pack(docs, *vocabulary(), payload="crc32")
+    return best_fit_pack(docs, *vocabulary(), payload="ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

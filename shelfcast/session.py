@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
+_shipped: set[str] = set()
 
 # One local folder per Python process, used only when no shared folder is named and Spark runs in local mode.
 _local_root: str | None = None
@@ -20,6 +25,22 @@ _local_root: str | None = None
 _run: ContextVar[str] = ContextVar("run", default="")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers, once per application, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="shelfcast-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves the file while it lives
+    archive = Path(folder) / "shelfcast.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+        for file in sorted(package.rglob("*.py")):
+            packed.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the SQL options the plans rely on. Results do not depend on them, only the number of shuffles.
 
@@ -30,6 +51,7 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     return spark
 
 
