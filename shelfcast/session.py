@@ -79,12 +79,16 @@ def storage_root(spark: SparkSession) -> str:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables settled inside are removed at the end, so results built on them must be consumed or written inside."""
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables settled inside are removed at the end, so results built on them must be consumed or written inside.
+
+    The function it gives settles a result where it outlasts this scratch, and ends with the one around it, if any.
+    """
+    around = _run.get()
     token = _run.set(f"run-{uuid.uuid4().hex}/")
     folder = f"{storage_root(spark)}/{_run.get()}"
     try:
-        yield
+        yield lambda df: _written(df, around)
     finally:
         _run.reset(token)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -97,8 +101,12 @@ def settle(df: DataFrame) -> DataFrame:
     Cuts lineage, survives lost executors, keeps column pruning, and gives the planner true sizes. The table stays
     until its ``scratch`` ends, or for good outside one: a lazy result may be read at any time.
     """
+    return _written(df, _run.get())
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{storage_root(spark)}/{_run.get()}settled-{uuid.uuid4().hex}"
+    path = f"{storage_root(spark)}/{folder}settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
