@@ -8,8 +8,12 @@ expanded to their members, whose whole sets are compared.
 Scale
 * The order comes from a fixed table of shingle counts over all documents. Any order is right; this one keeps
   passages that many documents share out of the prefixes.
-* Prefixes travel as packed arrays, one per slice of text and bucket; shingles met once end there.
+* Documents stay where they are; only prefixes are shuffled, as packed arrays, one per slice of text and bucket.
+  Shingles met once end there.
 * Copies fall into one class (size and 128-bit digest of the set) before anything is compared.
+* Every set has a parity sketch: one bit per slot, the parity of its shingles there. Two sets differ in at least as many
+  shingles as their sketches differ in bits, so a pair whose sketches differ too much is no link. This bound loses
+  nothing, costs a few longs a pair, and is tested inside the joins that would emit the pair.
 * Candidates of a shingle are first compared with a few pivots, for some turns. What the pivots connect needs no further
   look: in the end only candidates that still lie in different components are paired, so a group of near copies costs
   its size, not its square.
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import sketch
 from shelfcast.llm.components import components
 from shelfcast.llm.textcore import shingle_sets, signed, utf8_slices
-from shelfcast.session import settle
+from shelfcast.session import scratch, settle
 
 COUNTERS = 1 << 20
 BITS = 1 << 23
@@ -38,8 +42,8 @@ BUCKET_POSTINGS = 500_000
 HOT = 200_000
 SALTS = 256
 PIVOT_TURNS = 4
-_MOVED = "bucket long, docs binary, postings binary"
-_FOUND = "kind int, a long, n long, gid long, d1 long, d2 long"
+COARSE = [f"c{i}" for i in range(4)]
+_DOCUMENT = "doc_id long, n long, gid long, d1 long, d2 long, c0 long, c1 long, c2 long, c3 long, sketch array<long>"
 
 
 def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -64,69 +68,95 @@ def _digest(one: np.ndarray) -> tuple[np.uint64, np.uint64]:
     return one.sum(dtype=np.uint64), (one * (one >> np.uint64(29) | np.uint64(1))).sum(dtype=np.uint64)
 
 
+def _prefix(one: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.uint64]:
+    """The sorted prefix of a set that is not empty, and the name of its group: same prefix, same size."""
+    n = len(one)
+    size = prefix_length(n, percent)
+    if size < n:  # all below the weight of the last one, then the smallest of its equals
+        weight = counts[(one & np.uint64(COUNTERS - 1)).view(np.int64)]
+        last = np.partition(weight, size - 1)[size - 1]
+        prefix = np.concatenate((one[weight < last], one[weight == last][: size - int((weight < last).sum())]))
+        prefix.sort()
+    else:
+        prefix = one
+    p1, p2 = _digest(prefix)
+    return prefix, np.uint64((int(p1) ^ int(p2) * 2) + n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
+def parity_sketch(one: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in 256 slots, or in the next power of two from their number on, packed as longs.
+
+    Half of the slots of a sketch are the exclusive or of its two halves.
+    """
+    slots = max(64 * len(COARSE), 1 << (len(one) - 1).bit_length()) if len(one) else 64 * len(COARSE)
+    odd = np.bincount((one & np.uint64(slots - 1)).view(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _documents(batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Size, group, digest and sketches of every document; the whole sketch only where it is more than the coarse one."""
+    counts = sketch.opened(order.value, np.uint32)
+    names = ["doc_id", "n", "gid", "d1", "d2", *COARSE]
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        for lo, hi, data, bounds in utf8_slices(batch.column("text")):
+            table = np.zeros((hi - lo, len(names)), dtype=np.int64)
+            table[:, 0] = ids[lo:hi]
+            sketches: list[np.ndarray | None] = [None] * (hi - lo)
+            for row, one in enumerate(shingle_sets(data, bounds, k)):
+                if len(one):
+                    _, group = _prefix(one, counts, percent)
+                    whole = parity_sketch(one)
+                    table[row, 1] = len(one)
+                    table[row, 2:5] = np.array([group, *_digest(one)], dtype=np.uint64).view(np.int64)
+                    table[row, 5:] = np.bitwise_xor.reduce(whole.reshape(-1, len(COARSE)), axis=0)
+                    if len(whole) > len(COARSE):
+                        sketches[row] = whole
+            columns = [pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sketches, pa.list_(pa.int64()))], [*names, "sketch"])
+
+
 def _prefixes(
     batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Broadcast, buckets: int, hot_from: int
 ) -> Iterator[pa.RecordBatch]:
-    """Packed rows: (doc_id, n, group, digest) of every document and (shingle, group) of every new group's prefix."""
+    """Packed (shingle, group) of every new group's prefix, by bucket."""
     counts = sketch.opened(order.value, np.uint32)
     known: set[np.uint64] = set()
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for lo, _, data, bounds in utf8_slices(batch.column("text")):
-            docs, tokens, groups = [], [], []
-            for row, one in enumerate(shingle_sets(data, bounds, k), lo):
-                n = len(one)
-                if not n:
-                    docs.append((ids[row], 0, 0, 0, 0))
+        for _, _, data, bounds in utf8_slices(batch.column("text")):
+            tokens, groups = [], []
+            for one in shingle_sets(data, bounds, k):
+                if not len(one):
                     continue
-                weight = counts[(one & np.uint64(COUNTERS - 1)).view(np.int64)]
-                size = prefix_length(n, percent)
-                if size < n:  # all below the weight of the last one, then the smallest of its equals
-                    last = np.partition(weight, size - 1)[size - 1]
-                    below = weight < last
-                    prefix = np.concatenate((one[below], one[weight == last][: size - int(below.sum())]))
-                    prefix.sort()
-                else:
-                    prefix = one
-                p1, p2 = _digest(prefix)
-                group = np.uint64((int(p1) ^ int(p2) * 2) + n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-                d1, d2 = _digest(one)
-                docs.append((ids[row], n, group.astype(np.int64), d1.astype(np.int64), d2.astype(np.int64)))
+                prefix, group = _prefix(one, counts, percent)
                 if group not in known:
                     known.add(group)
                     tokens.append(prefix)
                     groups.append(np.full(len(prefix), group, dtype=np.uint64))
-            out: dict[int, list[bytes]] = {}
-            table = np.array(docs, dtype=np.int64).reshape(-1, 5)
-            _deal(out, 0, (table[:, 2].view(np.uint64) % np.uint64(buckets)), table)
-            if tokens:
-                token, group = np.concatenate(tokens), np.concatenate(groups)
-                hot = counts[(token & np.uint64(COUNTERS - 1)).view(np.int64)] >= hot_from
-                to = (token >> np.uint64(20)) % np.uint64(buckets)
-                # A shingle that may be in very many prefixes is dealt over many buckets.
-                spread = np.uint64(buckets) + (token + group % np.uint64(SALTS)) % np.uint64(SALTS)
-                _deal(out, 1, np.where(hot, spread, to), np.stack((signed(token), signed(group)), axis=1))
+            if not tokens:
+                continue
+            token, group = np.concatenate(tokens), np.concatenate(groups)
+            hot = counts[(token & np.uint64(COUNTERS - 1)).view(np.int64)] >= hot_from
+            to = (token >> np.uint64(20)) % np.uint64(buckets)
+            # A shingle that may be in very many prefixes is dealt over many buckets.
+            spread = np.uint64(buckets) + (token + group % np.uint64(SALTS)) % np.uint64(SALTS)
+            dealt = _deal(np.where(hot, spread, to), np.stack((signed(token), signed(group)), axis=1))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(out), pa.int64()),
-                    pa.array([v[0] for v in out.values()], pa.binary()),
-                    pa.array([v[1] for v in out.values()], pa.binary()),
-                ],
-                ["bucket", "docs", "postings"],
+                [pa.array([at for at, _ in dealt], pa.int64()), pa.array([rows for _, rows in dealt], pa.binary())],
+                ["bucket", "postings"],
             )
 
 
-def _deal(out: dict[int, list[bytes]], slot: int, to: np.ndarray, rows: np.ndarray) -> None:
+def _deal(to: np.ndarray, rows: np.ndarray) -> list[tuple[int, bytes]]:
     by = np.argsort(to, kind="stable")
     to, rows = to[by], rows[by]
     cuts = np.flatnonzero(np.diff(to)) + 1
-    for at, block in zip(to[np.concatenate(([0], cuts)).astype(np.int64)].tolist(), np.split(rows, cuts)):
-        out.setdefault(int(at), [b"", b""])[slot] = block.tobytes()
+    starts = to[np.concatenate(([0], cuts)).astype(np.int64)]
+    return [(int(at), block.tobytes()) for at, block in zip(starts, np.split(rows, cuts), strict=True)]
 
 
 def _meet(table: pa.Table, buckets: int) -> pa.Table:
-    """Pass the documents on, and of the postings those whose shingle is in two groups (or may be, if it is hot)."""
-    docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), dtype=np.int64).reshape(-1, 5)
+    """The postings whose shingle is in two groups (or may be, if it is hot), each once."""
     rows = np.frombuffer(b"".join(table.column("postings").to_pylist()), dtype=np.int64).reshape(-1, 2)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     if len(rows):
@@ -136,17 +166,7 @@ def _meet(table: pa.Table, buckets: int) -> pa.Table:
         if table.column("bucket")[0].as_py() < buckets:
             single = new_token & np.concatenate((new_token[1:], [True]))
             rows = rows[~single]
-    zeros = np.zeros(len(rows), dtype=np.int64)
-    return pa.table(
-        {
-            "kind": pa.array(np.concatenate((np.zeros(len(docs)), np.ones(len(rows)))).astype(np.int32)),
-            "a": np.concatenate((docs[:, 0], rows[:, 0])),
-            "n": np.concatenate((docs[:, 1], zeros)),
-            "gid": np.concatenate((docs[:, 2], rows[:, 1])),
-            "d1": np.concatenate((docs[:, 3], zeros)),
-            "d2": np.concatenate((docs[:, 4], zeros)),
-        }
-    )
+    return pa.table({"token": np.ascontiguousarray(rows[:, 0]), "gid": np.ascontiguousarray(rows[:, 1])})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, wanted: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -218,10 +238,27 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / (100 + percent)) - (F.ceil(percent * F.greatest(a, b) / 100) - 1)
 
 
-def _enough(percent: int) -> Column:
-    """Whether ``shared`` prefix shingles of sets of n_a and n_b can still lead to the threshold."""
+def _near(percent: int) -> Column:
+    """Whether sets of n_a and n_b shingles can be similar by their sizes and their coarse sketches, if both are known."""
     a, b = F.col("n_a"), F.col("n_b")
-    return (F.col("shared") >= _needed(a, b, percent)) & (100 * F.least(a, b) >= percent * F.greatest(a, b))
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in COARSE])
+    fits = 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    return fits & F.coalesce((100 + percent) * apart <= (100 - percent) * (a + b), F.lit(True))
+
+
+def _near_whole(percent: int) -> Column:
+    """The same by the whole sketches, if both sets have one."""
+    a, b = F.col("sketch_a"), F.col("sketch_b")
+    size = F.least(F.size(a), F.size(b))
+
+    def halved(x: Column) -> Column:
+        folded = F.zip_with(F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > size, folded).otherwise(x)
+
+    bits = F.zip_with(halved(a), halved(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, one: total + one)
+    differ = (100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    return a.isNull() | b.isNull() | differ
 
 
 def _promising(met: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +295,7 @@ def _open_rows(live: DataFrame, labelled: DataFrame) -> DataFrame:
     return settle(parts.join(spread.select("token"), "token").select("token", "label", "gid", "n"))
 
 
-def _pivot_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percent: int, turn: int) -> DataFrame:
+def _pivot_pairs(rows: DataFrame, labelled: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a, b): pivots for each shingle and class of sizes, with the groups in other components than theirs.
 
     Pivots are the first and the last in two random orders of groups, others each turn, the same for all shingles of a
@@ -279,41 +316,29 @@ def _pivot_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, perc
     met = (
         sized.join(pivots, ["token", "scale"])
         .where("gid != pivot.gid AND label != pivot.label")
-        .select(
-            F.col("pivot.gid").alias("gid_a"), F.col("pivot.label").alias("label_a"), F.col("pivot.n").alias("n_a"),
-            F.col("gid").alias("gid_b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"),
-        )
+        .where(100 * F.least("n", "pivot.n") >= percent * F.greatest("n", "pivot.n"))
+        .select(F.least("pivot.gid", "gid").alias("gid_a"), F.greatest("pivot.gid", "gid").alias("gid_b"))
     )
-    return _members(_counted(met, profiles, percent), labelled)
-
-
-def _counted(met: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """The meetings of groups that share enough prefix shingles, each once."""
-    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    once = met.where(fits).select("gid_a", "label_a", "n_a", "gid_b", "label_b", "n_b").distinct()
-    a, b = (profiles.select(F.col("gid").alias(f"gid_{s}"), F.col("tokens").alias(f"tokens_{s}")) for s in "ab")
-    both = once.join(a, "gid_a").join(b, "gid_b")
-    shared = both.withColumn("shared", F.size(F.array_intersect("tokens_a", "tokens_b"))).where(_enough(percent))
-    return shared.select("gid_a", "label_a", "gid_b", "label_b")
+    return _members(met.distinct(), labelled, percent)
 
 
-def _members(groups: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Expand pairs of groups to the pairs (a, b) of their members."""
-    a, b = (
-        labelled.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}"), F.col("rep").alias(s))
-        for s in "ab"
-    )
-    pairs = groups.join(a, ["gid_a", "label_a"]).join(b, ["gid_b", "label_b"])
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _members(groups: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+    """Expand pairs of groups to the pairs (a, b) of their members in different components that may be similar."""
+    columns = ["gid", "label", "n", *COARSE, "sketch"]
+    a, b = (labelled.select(F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+    pairs = groups.join(a, "gid_a").join(b, "gid_b").where("label_a != label_b").where(_near(percent))
+    once = pairs.where(_near_whole(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return once.distinct()
 
 
-def _all_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(rows: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs (a, b) whose components differ.
 
-    Under each shingle the smaller component is expanded first, and a pair is taken under the least shingle it shares
-    only, so that no step makes more rows than there are pairs.
+    Under each shingle the smaller component is expanded first. The join that meets the groups tests their coarse
+    sketches (of groups with one class), so it makes rows for pairs that may be similar only.
     """
-    early = rows.groupBy("gid").agg(F.collect_set("token").alias("early"))
+    single = F.count("*") == 1
+    marks = labelled.groupBy("gid").agg(*[F.when(single, F.min(c)).alias(c) for c in COARSE])
     runs = rows.groupBy("token", "label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("many")
     )
@@ -325,23 +350,19 @@ def _all_pairs(rows: DataFrame, labelled: DataFrame, profiles: DataFrame, percen
         & (100 * F.col("most_a") >= percent * F.col("least_b"))
         & (100 * F.col("most_b") >= percent * F.col("least_a"))
     )
-    wide = rows.join(early, "gid")
-    a, b = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n", "early")]) for s in "ab")
+    wide = rows.join(marks, "gid")
+    a, b = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "gid", "n", *COARSE)]) for s in "ab")
     met = (
         meets.select("token", "label_a", "label_b").join(b, ["token", "label_b"]).join(a, ["token", "label_a"])
-        .where("gid_a != gid_b AND token = array_min(array_intersect(early_a, early_b))")
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        .where("gid_a != gid_b").where(_near(percent))
+        .select(F.least("gid_a", "gid_b").alias("gid_a"), F.greatest("gid_a", "gid_b").alias("gid_b"))
     )
-    parts = labelled.select("gid", "label").distinct()
-    x, y = (parts.select(F.col("gid").alias(f"gid_{s}"), F.col("label").alias(f"label_{s}")) for s in "ab")
-    within = x.join(y, (F.col("gid_a") == F.col("gid_b")) & (F.col("label_a") < F.col("label_b")))
-    across = _counted(met, profiles, percent)
-    return _members(across.unionByName(within.select(*across.columns)), labelled)
+    several = labelled.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    within = several.select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
+    return _members(met.distinct().unionByName(within), labelled, percent)
 
 
-def _links(
-    live: DataFrame, nodes: DataFrame, profiles: DataFrame, named: DataFrame, k: int, percent: int
-) -> DataFrame:
+def _links(live: DataFrame, nodes: DataFrame, named: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) that connect whatever all links would connect.
 
     Turns with pivots cost as much as there are postings. They go on while pairing all that is still apart would cost
@@ -350,18 +371,17 @@ def _links(
     links = _verified(_within(nodes), named, k, percent)
     for turn in range(PIVOT_TURNS + 1):
         labels = components(links).withColumnRenamed("node", "rep")
-        labelled = settle(
-            nodes.join(labels, "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("label"))
-        )
+        named_parts = nodes.join(labels, "rep", "left").withColumn("label", F.coalesce("component", "rep"))
+        labelled = settle(named_parts.drop("component"))
         rows = _open_rows(live, labelled)
         live = rows.select("token", "gid", "n").distinct()  # what lies in one component stays there
         spread = rows.groupBy("token").agg(F.count_distinct("label").cast("double").alias("l"), F.count("*").alias("n"))
         pairs, postings = spread.agg(F.sum(F.expr("l * (l - 1) / 2")), F.sum("n")).first()
         last = turn == PIVOT_TURNS or (pairs or 0) <= (postings or 0)
         if last:
-            found = _all_pairs(rows, labelled, profiles, percent)
+            found = _all_pairs(rows, labelled, percent)
         else:
-            found = _pivot_pairs(rows, labelled, profiles, percent, turn)
+            found = _pivot_pairs(rows, labelled, percent, turn)
         links = links.unionByName(_verified(found, named, k, percent))
         if last:
             break
@@ -377,32 +397,38 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
 
     Null or empty text, or white space only: n_shingles 0, linked with nothing. Null doc_id: n_shingles is given and
     component_id is null. Rows that share a doc_id are one node and each keep their own n_shingles. Other columns of
-    ``docs`` are ignored, whatever their names. An empty table gives an empty result.
+    ``docs`` are ignored, whatever their names. An empty table gives an empty result. The result is written to the
+    shared folder; the tables on the way to it are removed.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(_joined(docs, k, percent))
+
+
+def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     named = docs.where("doc_id IS NOT NULL")
     counted = named.select("text").mapInArrow(partial(_count, k=k), sketch.PART_SCHEMA)
     counts = sketch.summed(counted, COUNTERS)
     buckets = max(64, math.ceil(int(counts.sum()) * (100 - percent) / 100 / BUCKET_POSTINGS))
     order = sketch.shared(docs, np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
-    moved = named.mapInArrow(partial(_prefixes, k=k, percent=percent, order=order, buckets=buckets, hot_from=HOT), _MOVED)
-    found = settle(moved.groupBy("bucket").applyInArrow(lambda table: _meet(table, buckets), _FOUND))
-
-    members = found.where("kind = 0").select(F.col("a").alias("doc_id"), "n", "gid", "d1", "d2")
-    classes = settle(
-        members.where("n > 0").groupBy("n", "gid", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
-    )
-    groups = classes.groupBy("gid", "n").agg(F.min("rep").alias("first"), F.count("*").alias("classes"))
-    met = found.where("kind = 1").select(F.col("a").alias("token"), "gid").join(groups.select("gid", "n"), "gid")
-    live = settle(_promising(met, percent))
-    profiles = settle(
-        met.join(live.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(F.collect_list("token").alias("tokens"))
-    )
+    members = settle(named.mapInArrow(partial(_documents, k=k, percent=percent, order=order), _DOCUMENT))
+    dealt = partial(_prefixes, k=k, percent=percent, order=order, buckets=buckets, hot_from=HOT)
+    moved = named.select("text").mapInArrow(dealt, "bucket long, postings binary")
+    postings = settle(moved.groupBy("bucket").applyInArrow(lambda table: _meet(table, buckets), "token long, gid long"))
+
+    name = ["n", "gid", "d1", "d2"]
+    classes = settle(members.where("n > 0").groupBy(*name).agg(F.min("doc_id").alias("rep")))
+    groups = classes.groupBy("gid", "n").agg(F.count("*").alias("classes"))
+    live = settle(_promising(postings.join(groups.select("gid", "n"), "gid"), percent))
     # Nodes that may have a partner: of groups that meet another one, or that hold several classes.
     some = live.select("gid").union(groups.where("classes > 1").select("gid")).distinct()
-    nodes = settle(classes.join(some, "gid").select("gid", "n", "rep"))
-    links = _links(live, nodes, profiles, named, k, percent)
-    placed = members.join(classes.select("n", "gid", "d1", "d2", "rep"), ["n", "gid", "d1", "d2"], "left").select(
+    wanted = classes.join(some, "gid").select("gid", "rep", *[F.col(c).alias(f"{c}_") for c in ("n", "d1", "d2")])
+    same = "doc_id = rep AND n = n_ AND d1 = d1_ AND d2 = d2_"  # repeated ids may stand for several sets
+    drawn = members.select("doc_id", "n", "d1", "d2", *COARSE, "sketch").join(wanted, F.expr(same))
+    each = drawn.dropDuplicates(["gid", "n", "d1", "d2"])
+    nodes = settle(each.select("gid", "n", "rep", *COARSE, "sketch"))
+    links = _links(live, nodes, named, k, percent)
+    placed = members.join(classes, name, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")
     )
     twice = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
