@@ -6,6 +6,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from test_textcore import plain_set  # noqa: E402
 
 from shelfcast.llm.components import components  # noqa: E402
-from shelfcast.llm.jaccard_join import jaccard_join  # noqa: E402
+from shelfcast.llm.jaccard_join import jaccard_join, parity_sketch  # noqa: E402
 
 SCHEMA = "doc_id long, text string"
 
@@ -73,6 +74,28 @@ def test_hot_shingles_are_dealt_out_without_loss(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 255, 256, 257, 900, 4000):
+        pool = rng.integers(0, 1 << 63, n + n // 2 + 3, dtype=np.uint64)
+        x, y = np.sort(pool[:n]), np.sort(pool[n // 4 : n // 4 + n + n // 8])
+        a, b = parity_sketch(x), parity_sketch(y)
+        short, long = sorted((a, b), key=len)
+        assert len(long) in (len(short), 2 * len(short))
+        if len(long) > len(short):
+            long = long[: len(short)] ^ long[len(short) :]
+        differ = len(set(x.tolist()) ^ set(y.tolist()))
+        assert sum(int(v).bit_count() for v in (short ^ long).view(np.uint64)) <= differ
+
+
+def test_sketches_of_two_lengths(spark):
+    """Sets of 511 to 560 shingles on both sides of a sketch's step, some similar, some below the threshold."""
+    words = [f"w{i}" for i in range(700)]
+    rows = [(1, " ".join(words[:515])), (2, " ".join(words[:560])), (3, " ".join(words[40:560])), (4, " ".join(words[160:700]))]
+    rows += [(10 + i, " ".join([*words[: 350 + i], *(f"x{i}_{j}" for j in range(170))])) for i in range(6)]
+    assert found(spark, rows) == brute(rows)
+
+
 def test_nulls_ties_and_repeated_rows(spark):
     text = "a b c d e f g h"
     rows = [(4, text), (4, text), (9, text), (2, None), (None, text), (7, "x y z"), (7, text), (8, "x y z")]
