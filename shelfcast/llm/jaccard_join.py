@@ -42,8 +42,10 @@ BUCKET_POSTINGS = 500_000
 HOT = 200_000
 SALTS = 256
 PIVOT_TURNS = 4
-COARSE = [f"c{i}" for i in range(4)]
-_DOCUMENT = "doc_id long, n long, gid long, d1 long, d2 long, c0 long, c1 long, c2 long, c3 long, sketch array<long>"
+#: Longs of the coarse sketch that the joins compare. With 1024 bits, pairs of sets of some hundred shingles that pass
+#: are few more than the similar ones; with 256, copies a little below the threshold passed too.
+COARSE = [f"c{i}" for i in range(16)]
+_DOCUMENT = f"doc_id long, n long, gid long, d1 long, d2 long, {', '.join(f'{c} long' for c in COARSE)}, sketch array<long>"
 
 
 def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -84,7 +86,7 @@ def _prefix(one: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarr
 
 
 def parity_sketch(one: np.ndarray) -> np.ndarray:
-    """Parities of the shingles in 256 slots, or in the next power of two from their number on, packed as longs.
+    """Parities of the shingles in 1024 slots, or in the next power of two from their number on, packed as longs.
 
     Half of the slots of a sketch are the exclusive or of its two halves.
     """

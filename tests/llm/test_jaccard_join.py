@@ -14,7 +14,8 @@ sys.path.insert(0, str(Path(__file__).parent))
 from test_textcore import plain_set  # noqa: E402
 
 from shelfcast.llm.components import components  # noqa: E402
-from shelfcast.llm.jaccard_join import jaccard_join, parity_sketch  # noqa: E402
+from shelfcast.llm.jaccard_join import COARSE, jaccard_join, parity_sketch  # noqa: E402
+from shelfcast.session import scratch, settle  # noqa: E402
 
 SCHEMA = "doc_id long, text string"
 
@@ -133,3 +134,28 @@ def test_components(spark, links):
     want = {x: root(x) for p in links for x in p if p[0] != p[1]}
     got = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.component for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_coarse_sketches_tell_copies_below_the_threshold():
+    """Sets of 146 shingles at similarity 0.7: hardly any may pass, or a group of them is paired whole."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 146, dtype=np.uint64)
+    near = [np.sort(np.concatenate((base[:133], rng.integers(0, 1 << 63, 13, dtype=np.uint64)))) for _ in range(2)]
+    passed = 0
+    for _ in range(200):
+        x, y = (np.sort(np.concatenate((base[:121], rng.integers(0, 1 << 63, 25, dtype=np.uint64)))) for _ in range(2))
+        apart = sum(int(v).bit_count() for v in (parity_sketch(x) ^ parity_sketch(y)).view(np.uint64))
+        passed += 175 * apart <= 25 * 292
+    same = sum(int(v).bit_count() for v in (parity_sketch(near[0]) ^ parity_sketch(near[1])).view(np.uint64))
+    assert len(parity_sketch(base)) == len(COARSE) and 175 * same <= 25 * 292 and passed <= 20
+
+
+def test_scratch_removes_shuffle_files(spark):
+    """A write inside asks Spark to drop its shuffle files; outside the option is as it was."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with scratch(spark) as keep:
+        assert spark.conf.get(name) == "true"
+        inner = settle(spark.range(100).repartition(3, "id").groupBy("id").count())
+        out = keep(inner.where("id < 7"))
+    assert spark.conf.get(name, None) == before and out.count() == 7
