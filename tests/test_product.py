@@ -91,3 +91,24 @@ def test_dense_rows_meet_no_sort_and_no_table_of_pairs(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortMergeJoin" not in plan and "HashAggregate" not in plan
     assert plan.count("ShuffledHashJoin") <= 1  # only the keys to predict meet their items
+
+
+def test_rows_without_units_make_no_maps_of_them(world):
+    *_, made = world
+    with_units, without = (made().seniority().rows(units) for units in (True, False))
+    names = [c for c in with_units.columns if c != "item_quantity"]
+    assert without.columns == names and rows(without, *names) == rows(with_units, *names)
+    lean, settled = made().lagged_means([ITEM], [1], "mean"), []
+    with pytest.MonkeyPatch.context() as patch:
+        keep = product.settle_all
+        patch.setattr(product, "settle_all", lambda *tables: settled.extend(tables) or keep(*tables))
+        lean.rows(units=False)
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in settled]
+    assert plans and not any("collect_list" in p for p in plans)
+
+
+def test_single_lag_is_a_shift(spark):
+    table = spark.createDataFrame([(1, 4, 2.5), (2, 4, None), (None, 4, 1.0), (1, None, 3.0)], "month_id INT, item_id INT, v DOUBLE")
+    got = grid.lag_table(table, [ITEM], ["v"], [2])
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got, MONTH, ITEM, "v_lag_2") == sorted([(3, 4, 2.5), (4, 4, None), (None, 4, 1.0), (3, None, 3.0)], key=str)
