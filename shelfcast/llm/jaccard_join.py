@@ -187,7 +187,10 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int, wanted: Broadcast) -> Itera
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
-    return ids.astype(np.int64) & (BITS - 1)
+    """Where an id's bit stands: ids that count up, within partitions or over the table, are dealt over all bits."""
+    x = ids.astype(np.int64).view(np.uint64)
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    return (x >> np.uint64(65 - BITS.bit_length())).astype(np.int64)
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

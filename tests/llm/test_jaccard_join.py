@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from test_textcore import plain_set  # noqa: E402
 
 from shelfcast.llm.components import components  # noqa: E402
-from shelfcast.llm.jaccard_join import COARSE, jaccard_join, parity_sketch  # noqa: E402
+from shelfcast.llm.jaccard_join import BITS, COARSE, _slot, jaccard_join, parity_sketch  # noqa: E402
 from shelfcast.session import scratch, settle  # noqa: E402
 
 SCHEMA = "doc_id long, text string"
@@ -159,3 +159,12 @@ def test_scratch_removes_shuffle_files(spark):
         inner = settle(spark.range(100).repartition(3, "id").groupBy("id").count())
         out = keep(inner.where("id < 7"))
     assert spark.conf.get(name, None) == before and out.count() == 7
+
+
+def test_ids_that_count_up_by_partition_have_bits_of_their_own():
+    """Numbers of ``monotonically_increasing_id`` share their low bits; sharing a bit, each wanted set drew in many others."""
+    ids = np.concatenate([(np.int64(part) << 33) + np.arange(2000) for part in range(40)])
+    assert len(np.unique(_slot(ids))) > 0.95 * len(ids)
+    assert len(np.unique(_slot(np.arange(80_000)))) > 0.95 * 80_000
+    for edge in (np.array([-1, 0, 2**63 - 1, -(2**63)]), np.array([], dtype=np.int64)):
+        assert ((0 <= _slot(edge)) & (_slot(edge) < BITS)).all()
