@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm import sketch
+from shelfcast.llm.common import batch_rows
 from shelfcast.llm.components import components
 from shelfcast.llm.textcore import shingle_sets, signed, utf8_slices
 from shelfcast.session import scratch, settle
@@ -42,6 +43,8 @@ BUCKET_POSTINGS = 500_000
 HOT = 200_000
 SALTS = 256
 PIVOT_TURNS = 4
+#: Pairs of whole sets in one Arrow batch: a task holds a batch on either side of the pipe, and a set may have 20,000 longs.
+PAIR_ROWS = 50
 #: Longs of the coarse sketch that the joins compare. With 1024 bits, pairs of sets of some hundred shingles that pass
 #: are few more than the similar ones; with 256, copies a little below the threshold passed too.
 COARSE = [f"c{i}" for i in range(16)]
@@ -225,7 +228,8 @@ def _verified(pairs: DataFrame, named: DataFrame, k: int, percent: int) -> DataF
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return settle(both.mapInArrow(partial(_similar, percent=percent), "a long, b long"))
+    with batch_rows(named.sparkSession, PAIR_ROWS):
+        return settle(both.mapInArrow(partial(_similar, percent=percent), "a long, b long"))
 
 
 def _sizes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:

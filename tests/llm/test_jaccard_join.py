@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from test_textcore import plain_set  # noqa: E402
 
+from shelfcast.llm import jaccard_join as module  # noqa: E402
 from shelfcast.llm.components import components  # noqa: E402
 from shelfcast.llm.jaccard_join import BITS, COARSE, _slot, jaccard_join, parity_sketch  # noqa: E402
 from shelfcast.session import scratch, settle  # noqa: E402
@@ -168,3 +169,15 @@ def test_ids_that_count_up_by_partition_have_bits_of_their_own():
     assert len(np.unique(_slot(np.arange(80_000)))) > 0.95 * 80_000
     for edge in (np.array([-1, 0, 2**63 - 1, -(2**63)]), np.array([], dtype=np.int64)):
         assert ((0 <= _slot(edge)) & (_slot(edge) < BITS)).all()
+
+
+def test_pairs_of_whole_sets_move_in_small_batches(spark, monkeypatch):
+    """A batch of 1000 pairs of long sets took the memory of an executor; only the setting during the write counts."""
+    seen, option = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(module, "settle", lambda df: seen.append((df.columns, spark.conf.get(option))) or settle(df))
+    before = spark.conf.get(option)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words")], SCHEMA)
+    assert sorted(tuple(r) for r in jaccard_join(docs).collect()) == [(1, 36, 1), (2, 37, 1), (3, 1, 3)]
+    verified = [int(n) for columns, n in seen if columns == ["a", "b"]]
+    assert min(verified) == module.PAIR_ROWS < int(before) == int(spark.conf.get(option))
