@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,23 +18,38 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.bin_completion import Pattern, complete
+from shelfcast.llm.textcore import utf8_slices
 from shelfcast.session import settle
 
 CAPACITY = 1024
 END = 2
+#: Bytes of text that are encoded, cut and sent on at a time; a worker holds the ids of no more than that or one text.
+SLICE = 256 << 10
 _PIECE = "doc_id long, piece int, start long, length long, {payload}, task int, number long"
 _PAYLOADS = {"crc32": ("ids_crc32 long", pa.int64()), "ids": ("ids array<int>", pa.list_(pa.int32()))}
 
 
+@lru_cache(maxsize=1)
+def _encoder(ranks: str, reference: str):
+    """One encoder and its memory of words for all tasks of a worker process."""
+    from shelfcast.llm.tokens import Encoder
+
+    return Encoder(ranks, reference)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, _, _ in utf8_slices(batch.column("text"), limit):
+            yield batch.slice(lo, hi - lo)
+
+
 def _pieces(
     batches: Iterator[pa.RecordBatch], ranks: str, reference: str, capacity: int, payload: str
 ) -> Iterator[pa.RecordBatch]:
-    from shelfcast.llm.tokens import Encoder
-
-    encoder, task = Encoder(ranks, reference), TaskContext.get().partitionId()
+    encoder, task = _encoder(ranks, reference), TaskContext.get().partitionId()
     met = [0] * (capacity + 1)
     last = np.array([END], dtype="<u4")
-    for batch in batches:
+    for batch in _slices(batches, SLICE):
         rows, pieces, starts, lengths, numbers, payloads = [], [], [], [], [], []
         for row, ids in enumerate(encoder.encode(batch.column("text"))):
             ids = np.concatenate((ids.astype("<u4"), last))

@@ -46,7 +46,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2^64, at least ``n`` of each."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(1 << (n - 1).bit_length(), SLICE_BYTES + 1))
         up, down = np.full(size, _BASE), np.full(size, _BASE_INVERSE)
         up[0] = down[0] = 1
         _powers = np.cumprod(up), np.cumprod(down)

@@ -110,3 +110,30 @@ def test_pieces_hold_the_tokens_and_sequences_have_no_gaps(spark, payload):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert best_fit_pack(docs, *vocabulary()).count() == 0
+
+
+def test_pieces_leave_a_task_in_small_batches_with_one_encoder(monkeypatch):
+    import pyarrow as pa
+
+    from shelfcast.llm import packing
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 4)
+
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    texts = [None, "", *[f"word{i} " * 4000 for i in range(60)]]  # about 2 MB in one batch
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    found = list(packing._pieces(iter([batch]), *vocabulary(), 1024, "ids"))
+    largest = max(len(t or "") for t in texts)
+    assert len(found) > 5
+    for part in found:
+        some = {texts[i] for i in part.column("doc_id").to_pylist()}
+        assert sum(len(t or "") for t in some) <= max(packing.SLICE, largest)
+    whole = pa.Table.from_batches(found).to_pylist()
+    assert [r["doc_id"] for r in whole] == sorted(r["doc_id"] for r in whole) and {r["doc_id"] for r in whole} == set(range(len(texts)))
+    met = Counter()
+    for r in whole:
+        assert r["number"] == met[r["length"]] and len(r["ids"]) == r["length"] and r["task"] == 4
+        met[r["length"]] += 1
+    assert packing._encoder(*vocabulary()) is packing._encoder(*vocabulary())
