@@ -217,3 +217,20 @@ def test_warc_files_round_trip(spark, sf_dir, tmp_path):
     got = {(h["WARC-Record-ID"], h["WARC-Refers-To"], h["WARC-Block-Digest"], h["WARC-Type"], bytes(b)) for h, b in back.collect()}
     want = {(r.record_id, r.refers_to, r.block_digest, r.warc_type, r.block.encode()) for r in derived.collect()}
     assert got == want and len(want) == back.count()
+
+
+def test_fast_expressions_replace_what_the_plain_ones_do(spark):
+    import random
+
+    from shelfcast.llm import warc
+
+    rng = random.Random(8)
+    names = [*warc.BLOCKS.replace("h1|h2|", "h1|H2|").split("|"), "b", "dx", "head2", "Script", "style", "template", "noscript"]
+    bits = [" ", " ", "\n", "\t", "\r", "x", "<", ">", "/", "<!--", "-->", "<script>", "</script >", "<style a='<'>", "</STYLE>", "</scriptx>"]
+    texts = ["".join(rng.choice((rng.choice(bits), f"<{rng.choice(('', '/'))}{rng.choice(names)}{rng.choice(('', ' a', '/'))}>")) for _ in range(60)) for _ in range(400)]
+    texts += ["", "<script>" + "<b " * 100_000 + "</script>x", "<script>" + "<b " * 100_000]
+    pairs = [(warc._HIDDEN, warc._FAST_HIDDEN, " "), (warc._BREAK, warc._FAST_BREAK, "\n"), (warc._BLANKS, warc._FAST_BLANKS, " "), (warc._LINES, warc._FAST_LINES, "\n")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for plain, fast, by in pairs:
+        assert df.where(F.regexp_replace("t", plain, by) != F.regexp_replace("t", fast, by)).count() == 0
+    assert df.limit(1).select(F.regexp_count(F.lit("a b\nc"), F.lit(warc._FAST_BLANKS + "|" + warc._FAST_LINES))).first()[0] == 0
